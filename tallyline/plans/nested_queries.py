@@ -22,13 +22,15 @@ def _desc(column: str, tie: str) -> list[Column]:
 
 
 def flatten_items(transactions: DataFrame, dt: str, region: str) -> DataFrame:
-    rows = unnest(select_partition(transactions, dt=dt, region=region), "items", "item")
-    return rows.select("transaction_id", "item.sku", "item.price", "item.quantity")
+    rows = select_partition(transactions, dt=dt, region=region)
+    return unnest(rows, "items", "item", ["sku", "price", "quantity"]).select(
+        "transaction_id", "item.sku", "item.price", "item.quantity"
+    )
 
 
 def item_color(transactions: DataFrame, dt: str, region: str) -> DataFrame:
-    rows = unnest(select_partition(transactions, dt=dt, region=region), "items", "item")
-    return rows.select(
+    rows = select_partition(transactions, dt=dt, region=region)
+    return unnest(rows, "items", "item", ["sku", "price", "attributes"]).select(
         "transaction_id", "item.sku", "item.price",
         F.col("item.attributes")["color"].alias("color_used"),
     )
@@ -38,7 +40,7 @@ def order_values(transactions: DataFrame) -> DataFrame:
     """Value of each transaction's items; transactions without items have none."""
     value = F.col("item.price").cast("decimal(18,2)") * F.col("item.quantity")
     return (
-        unnest(transactions, "items", "item")
+        unnest(transactions, "items", "item", ["price", "quantity"])
         .groupBy("transaction_id")
         .agg(F.sum(value).alias("total_order_value"))
     )
@@ -84,7 +86,7 @@ def colors(transactions: DataFrame) -> DataFrame:
     """Distinct colours over all items that have one."""
     color = F.col("item.attributes")["color"]
     return (
-        unnest(transactions, "items", "item")
+        unnest(transactions, "items", "item", ["attributes"])
         .where(color.isNotNull())
         .select(color.alias("unique_color"))
         .distinct()

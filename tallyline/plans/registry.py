@@ -424,7 +424,8 @@ def _(spark, d):
 
 @query("cross_join_unnest")
 def _(spark, d):
-    rows = nesting.unnest(lake.nested(spark, d, "transactions"), "items", "item")
+    tx = lake.nested(spark, d, "transactions")
+    rows = nesting.unnest(tx, "items", "item", ["sku", "quantity"])
     return rows.select("transaction_id", "item.sku", "item.quantity")
 
 
