@@ -69,16 +69,15 @@ def extend_for_reports(
 ) -> DataFrame:
     """Add what the reports also read: event time, risk label and payout date.
 
-    `transactions` needs event_time, `flags` policy_flags and `payouts`
-    payout_due_date; the highest value per transaction counts.
+    `transactions` needs event_time and `payouts` payout_due_date, of which the
+    highest per transaction counts; `flags` has one row per transaction.
     """
-    out = final_index
-    hot = hot_keys(out, "transaction_id")
-    for side, column in (
-        (transactions, "event_time"), (flags, "policy_flags"), (payouts, "payout_due_date")
-    ):
-        one = side.groupBy("transaction_id").agg(F.max(column).alias(column))
-        out = skew_join(out, one, "transaction_id", "left", unique_right=True, hot_left=hot)
+    key = "transaction_id"
+    times = transactions.groupBy(key).agg(F.max("event_time").alias("event_time"))
+    due = payouts.groupBy(key).agg(F.max("payout_due_date").alias("payout_due_date"))
+    out, hot = final_index, hot_keys(final_index, key)
+    for side in (times, flags.select(key, "policy_flags"), due):
+        out = skew_join(out, side, key, "left", unique_right=True, hot_left=hot)
     return out.withColumn(
         "risk_label", C.risk_label(F.col("fraud_score"), F.col("policy_flags"))
     )

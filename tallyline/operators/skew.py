@@ -234,6 +234,7 @@ def number_rows(
     name: str,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """`row_number()` over `keys` ordered by `order` (ascending, nulls first).
 
@@ -244,7 +245,8 @@ def number_rows(
     keys = [keys] if isinstance(keys, str) else list(keys)
     ordering = [F.col(c).asc_nulls_first() for c in order]
     plain = Window.partitionBy(*keys).orderBy(*ordering)
-    hot = hot_keys(df, keys, share, min_rows)
+    if hot is None:
+        hot = hot_keys(df, keys, share, min_rows)
     if hot.null_is_hot:
         # A null group is a group like any other here.
         hot = HotKeys({**hot.slices, None: MAX_SALTS // 8}, False)

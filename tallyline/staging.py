@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.skew import number_rows, skew_join
+from .operators.skew import hot_keys, number_rows, skew_join
 from .schemas import MONEY
 from .sources.tables import test_table
 
@@ -193,11 +193,13 @@ def nested_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = test_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
     )
+    hot = hot_keys(lines, "l_orderkey")
     lines = number_rows(
         lines,
         "l_orderkey",
         ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
         "item_no",
+        hot=hot,
     )
     attributes = F.when(
         F.col("l_linenumber") != 1,
@@ -228,7 +230,7 @@ def nested_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("promo_code"), F.concat(F.lit("PROMO"), (key % 100).cast("string"))
     )
     orders = test_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return skew_join(orders, items, "o_orderkey", "left").select(
+    return skew_join(orders, items, "o_orderkey", "left", hot_right=hot).select(
         F.when(F.coalesce(F.col("part_no"), F.lit(0)) == 0, key.cast("string"))
         .otherwise(F.concat_ws("#", key.cast("string"), F.col("part_no").cast("string")))
         .alias("transaction_id"),

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
@@ -76,10 +77,11 @@ def timed(spark, topic, per_batch=None):
     return parsed.withColumn("event_time", F.try_to_timestamp("event_time"))
 
 
-def test_dedupe_within_the_watermark(spark, tmp_path):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_dedupe_within_the_watermark(spark, tmp_path, salts):
     topic = tmp_path / "topic"
     publish(topic, "1.txt", tx(1), tx(1), tx(2, "2025-01-01 05:00:00"))
-    stream = stateful.dedupe_stream(timed(spark, topic))
+    stream = stateful.dedupe_stream(timed(spark, topic), salts=salts)
     out, ckpt = f"{tmp_path}/out", f"{tmp_path}/ckpt"
     assert index.drain(stream, out, ckpt).count() == 2
     # t1 again: its time is behind the watermark now, so the row is late and dropped.
