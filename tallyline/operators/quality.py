@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import skew_join
-
 
 def table_checks(
     df: DataFrame,
@@ -20,33 +18,28 @@ def table_checks(
 ) -> DataFrame:
     """One row: rows, null keys, surplus copies of keys, invalid rows, orphans.
 
-    Rows are counted per (key, foreign key) before anything else, so hot keys
-    are small when the duplicate and orphan counts see them.
+    Rows are counted per key and per reference in every task before they are
+    shuffled, so a hot key is one row per task.
     """
     fk = F.col(foreign_key) if foreign_key else F.lit(None).cast("string")
-    per_pair = df.groupBy(F.col(key).alias("k"), fk.alias("f")).agg(
+    per_key = df.groupBy(F.col(key).alias("k")).agg(
         F.count("*").alias("n"),
         F.count_if(~F.coalesce(valid, F.lit(False))).alias("invalid"),
     )
-    out = (
-        per_pair.groupBy("k")
-        .agg(F.sum("n").alias("n"), F.sum("invalid").alias("invalid"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-            F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n") - 1)), F.lit(0))
-            .alias("duplicate_keys"),
-            F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid_rows"),
-        )
+    out = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+        F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n") - 1)), F.lit(0))
+        .alias("duplicate_keys"),
+        F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid_rows"),
     )
     if parent is None:
-        orphans = per_pair.agg(F.lit(0).cast("bigint").alias("orphans"))
+        orphans = per_key.agg(F.lit(0).cast("bigint").alias("orphans"))
     else:
         known = parent.select(F.col(parent.columns[0]).alias("f")).distinct()
         references = df.where(fk.isNotNull()).groupBy(fk.alias("f")).agg(F.count("*").alias("n"))
         orphans = (
-            skew_join(references, known.withColumn("known", F.lit(True)), "f", "left",
-                      unique_right=True)
+            references.join(known.withColumn("known", F.lit(True)), "f", "left")
             .agg(F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0))
                  .alias("orphans"))
         )

@@ -1,8 +1,9 @@
 """Joins and numbering that survive a key holding a large share of all rows.
 
-Hot keys are found with `approx_top_k`: one pass over the key column, one
-bounded sketch per task. The sketch only steers the physical layout, so its
-error never touches a result. When no key is hot, the plain Spark plan is used.
+Hot keys are found with Spark's top-k sketch: one pass over the key column, one
+bounded sketch per task, merged in two steps. The sketch only steers the
+physical layout, so its error never touches a result. When no key is hot, the
+plain Spark plan is used.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ HOT_SHARE = 1 / 128
 HOT_ROWS = 50_000
 # No more than 1 / HOT_SHARE keys can reach the share, which bounds every list below.
 MAX_HOT_KEYS = 128
-SKETCH_ITEMS = 4096
+# Counts of the sketch are off by at most 1 / (0.75 * SKETCH_ITEMS) of the rows.
+SKETCH_ITEMS = 1024
+# Tasks that merge the sketches of all others before one merges theirs.
+MERGE_SLOTS = 256
 MAX_SALTS = 512
 
 
@@ -43,28 +47,46 @@ class HotKeys:
         return HotKeys(slices, self.null_is_hot)
 
 
-def _key_column(df: DataFrame, keys: list[str]) -> Column:
+def _key_column(df: DataFrame, keys: list[str], exact: bool = False) -> Column:
+    """One value per key. Several columns are hashed, or spelled out when `exact`."""
     if len(keys) == 1:
         return df[keys[0]]
-    return F.to_json(F.struct(*[df[k] for k in keys]))
+    columns = [df[k] for k in keys]
+    return F.to_json(F.struct(*columns)) if exact else F.xxhash64(*columns)
 
 
 def hot_keys(
-    df: DataFrame, keys: str | list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: str | list[str],
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_ROWS,
+    exact: bool = False,
 ) -> HotKeys:
     """Find the keys that hold at least `share` of the rows and `min_rows` rows."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     row = (
-        df.select(_key_column(df, keys).alias("k"))
+        df.select(
+            _key_column(df, keys, exact).alias("k"),
+            F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)).alias("slot"),
+        )
+        .groupBy("slot")
         .agg(
             F.count("*").alias("n"),
-            F.expr(f"approx_top_k(k, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+            F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"),
         )
+        .groupBy(F.lit("all"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
+        )
+        .select("n", F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
         .first()
     )
+    if row is None:  # no rows, no sketch
+        return HotKeys()
     floor = max(min_rows, share * row.n, 2)
     slices, null_is_hot = {}, False
-    for item, count in row.top or []:
+    for item, count in row.top:
         if count < floor:
             continue
         if item is None:
@@ -132,12 +154,18 @@ def skew_join(
     keys = [on] if isinstance(on, str) else list(on)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
+    # Below, an unmatched row is told apart by its key, which a hash cannot do.
+    exact = how == "left"
+
+    def key_of(df):
+        return _key_column(df, keys, exact)
+
     if hot_left is None:
-        hot_left = hot_keys(left, keys, share, min_rows)
+        hot_left = hot_keys(left, keys, share, min_rows, exact)
     if unique_right:
         hot_right = HotKeys()
     elif hot_right is None:
-        hot_right = hot_keys(right.where(has_key), keys, share, min_rows)
+        hot_right = hot_keys(right.where(has_key), keys, share, min_rows, exact)
 
     parts = []
     if how == "left" and hot_left.null_is_hot:
@@ -158,7 +186,7 @@ def skew_join(
         return reduce(DataFrame.unionByName, parts)
 
     def is_hot(df):
-        return F.coalesce(_key_column(df, keys).isin(hot), F.lit(False))
+        return F.coalesce(key_of(df).isin(hot), F.lit(False))
 
     cold = left.where(~is_hot(left)).join(right.where(~is_hot(right)), keys, how)
 
@@ -167,12 +195,8 @@ def skew_join(
     hot_r = _with_ordinal(hot_r, "__row")
     # Each left row sits in one slice of its own key and in all slices the right
     # side has for that key, and the other way round: every pair meets once.
-    n_l, m_l = _slices_of(_key_column(hot_l, keys), hot_left), _slices_of(
-        _key_column(hot_l, keys), hot_right
-    )
-    n_r, m_r = _slices_of(_key_column(hot_r, keys), hot_left), _slices_of(
-        _key_column(hot_r, keys), hot_right
-    )
+    n_l, m_l = (_slices_of(key_of(hot_l), h) for h in (hot_left, hot_right))
+    n_r, m_r = (_slices_of(key_of(hot_r), h) for h in (hot_left, hot_right))
     hot_l = (
         hot_l.withColumn("__ls", F.pmod("__row", n_l).cast("int"))
         .withColumn("__copies", m_l)

@@ -45,6 +45,11 @@ def landed(
     return read_table(spark, _written[key])
 
 
+def forget() -> None:
+    """Write every table anew when it is next asked for."""
+    _written.clear()
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "transactions", lambda: staging.transactions(spark, sf_dir))
 

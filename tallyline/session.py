@@ -16,6 +16,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition directories hold STRING columns; inference would turn dt into DATE.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Streaming state outgrows the heap; RocksDB keeps it on disk and writes
+    # only changes to the checkpoint folder.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

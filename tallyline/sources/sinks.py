@@ -18,13 +18,15 @@ def write_table(
     files per directory, and a partition holding many rows is split over
     several tasks.
     """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    # Observed in the writing tasks, each of which counts once however often
+    # lost tasks before them run again.
     seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:
-        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
-        out.write.partitionBy(*partition_by).mode(mode).parquet(path)
-    else:
-        out.write.mode(mode).parquet(path)
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return seen.get["n"]
 
 

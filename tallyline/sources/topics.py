@@ -8,16 +8,25 @@ from pyspark.sql import types as T
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, offsets: str = "latest"
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    offsets: str = "latest",
+    messages_per_batch: int | None = None,
 ) -> DataFrame:
-    """Subscribe to a Kafka topic. Needs Spark's Kafka package on the classpath."""
-    return (
+    """Subscribe to a Kafka topic. Needs Spark's Kafka package on the classpath.
+
+    `messages_per_batch` bounds a batch when a job has fallen behind.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", offsets)
-        .load()
     )
+    if messages_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", messages_per_batch)
+    return reader.load()
 
 
 def read_topic_files(

@@ -287,3 +287,8 @@ def test_nested_items_are_cut_into_rows(spark, tmp_path, monkeypatch):
         "transaction_id", F.coalesce(F.array_size("items"), F.lit(0)).alias("n")
     )
     assert {r.transaction_id: r.n for r in rows.collect()} == {"0": 4, "0#1": 4, "0#2": 2, "1": 0}
+
+
+def test_quality_without_a_parent_table(stmts):
+    row = quality.table_checks(stmts, "st", "statement_id", F.col("amount_posted") > 0).first()
+    assert (row.row_count, row.duplicate_keys, row.invalid_rows, row.orphans) == (4, 0, 0, 0)
