@@ -10,6 +10,7 @@ from .latest import latest_per_key
 from .matching import stamp_run
 from .skew import HotKeys, hot_keys, skew_join
 
+# Columns of the final index, in order.
 FINAL_COLUMNS = [
     "transaction_id",
     "merchant_id",

@@ -9,6 +9,7 @@ from ..functions import columns as C
 from .latest import latest_per_key
 from .skew import attach, skew_join
 
+# Columns of the batch index, in order.
 MATCH_COLUMNS = [
     "transaction_id",
     "merchant_id",

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.final_index import build_final_index, merge_indexes
 from ..operators.matching import match_statements, star_enrich
 from ..schemas import ML_SIGNAL
+from ..session import size_shuffles
 from ..sources.signals import ingest_signals, snapshot, store_signals
 from ..sources.sinks import write_table
 from ..sources.tables import read_table
@@ -71,6 +72,7 @@ def match_job(
     dedupe: bool = False,
 ) -> int:
     """Stream index and bank statements to the batch index."""
+    size_shuffles(spark, stream_index, statements)
     out = match_statements(
         read_table(spark, stream_index), read_table(spark, statements), run_ts or _now(), dedupe
     )
@@ -87,6 +89,7 @@ def final_index_job(
     dedupe: bool = False,
 ) -> int:
     """Batch index, fraud signals and stream index to the final index."""
+    size_shuffles(spark, batch_index, signals, stream_index)
     out = build_final_index(
         read_table(spark, batch_index),
         read_table(spark, signals),
@@ -106,11 +109,13 @@ def star_index_job(
     output: str,
 ) -> int:
     """Transactions with their policy, merchant and user to the batch index."""
+    size_shuffles(spark, transactions, policies, merchants, users)
     tables = [read_table(spark, p) for p in (transactions, policies, merchants, users)]
     return write_table(star_enrich(*tables), output)
 
 
 def merge_job(spark: SparkSession, stream_index: str, batch_index: str, output: str) -> int:
     """Both indexes to one, the newest row per transaction."""
+    size_shuffles(spark, stream_index, batch_index)
     out = merge_indexes(read_table(spark, stream_index), read_table(spark, batch_index))
     return write_table(out, output)

@@ -18,7 +18,7 @@ from ..operators.final_index import build_final_index, extend_for_reports
 from ..operators.kpis import settlement_schedule
 from ..operators.matching import match_statements
 from ..schemas import NESTED, partition_columns
-from ..session import work_path
+from ..session import configure, size_shuffles, work_path
 from ..sources import catalog
 from ..sources.sinks import write_table
 from ..sources.tables import read_table
@@ -45,6 +45,15 @@ def landed(
     return read_table(spark, _written[key])
 
 
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Settings for jobs over the tables of a folder."""
+    key = (spark.sparkContext.applicationId, "prepared")
+    if _written.get(key) != sf_dir:
+        configure(spark)
+        size_shuffles(spark, *[f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "events")])
+        _written[key] = sf_dir
+
+
 def forget() -> None:
     """Write every table anew when it is next asked for."""
     _written.clear()

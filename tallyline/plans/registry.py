@@ -14,7 +14,7 @@ from ..operators import compliance, enrichment, kpis, matching, nesting, quality
 from ..operators.final_index import merge_indexes
 from ..operators.latest import latest_per_key
 from ..operators.skew import attach, skew_join
-from ..session import configure, work_path
+from ..session import work_path
 from ..sources import catalog, signals, sinks, tables, topics
 from ..streaming import index as stream
 from ..streaming import stateful
@@ -54,8 +54,9 @@ def portable(df: DataFrame) -> DataFrame:
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
-            return portable(fn(spark, sf_dir.rstrip("/")))
+            sf_dir = sf_dir.rstrip("/")
+            lake.prepare(spark, sf_dir)
+            return portable(fn(spark, sf_dir))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings every job here expects. They can be set on a live session.
 RUNTIME_CONF = {
@@ -14,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A scan task reads up to this much: fewer, longer tasks on large tables.
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Partition directories hold STRING columns; inference would turn dt into DATE.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Streaming state outgrows the heap; RocksDB keeps it on disk and writes
@@ -42,6 +46,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(
+    spark: SparkSession, *paths: str, bytes_each: int = 256 << 20, most: int = 100_000
+) -> int:
+    """Start shuffles with enough partitions for the given inputs.
+
+    Reads file sizes only. AQE joins partitions that turn out small, so the
+    number may be generous; it is never set below the session's own.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    total = files.load(list(paths)).agg(F.sum("length")).first()[0] or 0
+    wanted = min(most, math.ceil(total / bytes_each))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > usual:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    else:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    return max(wanted, usual)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir`.
 

@@ -3,6 +3,7 @@
 import json
 
 from tallyline.plans import jobs
+from tallyline.session import size_shuffles
 
 
 def put(spark, path, sql):
@@ -63,3 +64,13 @@ def test_star_and_merge(spark, tmp_path):
     )
     assert jobs.merge_job(spark, stream, f"{d}/star", f"{d}/merged") == 1
     assert spark.read.parquet(f"{d}/merged").first().fraud_id == "f1"
+
+
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.range(100_000).write.parquet(f"{tmp_path}/t")
+    assert size_shuffles(spark, f"{tmp_path}/t", bytes_each=1000) > 100
+    assert int(spark.conf.get(setting)) > 100
+    assert size_shuffles(spark, f"{tmp_path}/t", bytes_each=1000, most=50) == 50
+    assert size_shuffles(spark, f"{tmp_path}/t") == 4
+    assert spark.conf.get(setting, None) is None
