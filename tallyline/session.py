@@ -75,9 +75,7 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    base = os.path.join(tempfile.gettempdir(), f"tallyline-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return os.path.join(tempfile.gettempdir(), f"tallyline-{spark.sparkContext.applicationId}")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
