@@ -25,7 +25,7 @@ def test_no_python_on_the_hot_path(spark, data_dir):
 
 def test_partition_filters_reach_the_scan(spark, data_dir):
     tx = lake.nested(spark, data_dir, "transactions")
-    text = plan_of(nested_queries.promo_codes(tx, "1996-01-01", "US"))
+    text = formatted_plan(nested_queries.promo_codes(tx, "1996-01-01", "US"))
     assert "PartitionFilters: [isnotnull(dt" in text
 
 
@@ -34,8 +34,8 @@ def test_join_on_partition_columns_prunes_both_sides(spark, data_dir):
         "dt = '2024-01-02' AND environment = 'DEV'"
     )
     users = lake.nested(spark, data_dir, "users")
-    text = plan_of(nested_queries.join_events_users(events, users))
-    scans = [line.split("PartitionFilters:")[1] for line in text.splitlines() if "FileScan" in line]
+    text = formatted_plan(nested_queries.join_events_users(events, users))
+    scans = [line for line in text.splitlines() if line.startswith("PartitionFilters:")]
     assert len(scans) == 2 and all("2024-01-02" in s and "DEV" in s for s in scans)
 
 
@@ -52,14 +52,14 @@ def test_nested_leaves_are_pruned(spark, data_dir):
 
 
 def test_filters_on_the_final_index_are_pushed(spark, data_dir):
-    text = plan_of(reports.fraud_alerts(lake.report_index(spark, data_dir)))
+    text = formatted_plan(reports.fraud_alerts(lake.report_index(spark, data_dir)))
     assert "GreaterThan(fraud_score,0.8)" in text
 
 
 def test_column_rules_stay_in_compiled_stages(spark, data_dir):
     tx = lake.transactions(spark, data_dir)
     df = tx.select(C.amount_in_usd(F.col("amount"), F.col("currency")), C.masked_id(F.col("user_id")))
-    assert "*(1) Project" in plan_of(df) or "*(1) " in plan_of(df)
+    assert "*(1) Project" in plan_of(df)
 
 
 def test_dimensions_are_broadcast_only_when_they_fit(spark, data_dir):
