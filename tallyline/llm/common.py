@@ -29,8 +29,13 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
+# Rows handed to Python at once: texts may be long.
+BATCH = 500
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id (null: NO_ID), text (null: empty) and the columns asked for; no others."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
@@ -95,7 +100,7 @@ def ranked(df: DataFrame, key: str, ids: list[str], rows_each: int = 1_000_000)
 class WordHashes(dict):
     """64-bit hash of a word, remembered; emptied when it holds many words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 
@@ -207,7 +212,7 @@ class SeenTwice:
 def partition_sketch(key_arrays: Iterator[np.ndarray], rows: int, bits: int) -> Iterator[pd.DataFrame]:
     """The count-min sketch of one partition as its counters that are not zero.
 
-    Keys are gathered up to a million before they are counted, so memory is
+    Keys are gathered up to half a million before they are counted, so memory is
     bounded and a cell may appear in several rows; the merge adds them.
     """
     pool, held = [], 0
@@ -221,7 +226,7 @@ def partition_sketch(key_arrays: Iterator[np.ndarray], rows: int, bits: int) ->
     for keys in key_arrays:
         pool.append(keys)
         held += len(keys)
-        if held >= 1_000_000:
+        if held >= 500_000:
             yield from flush()
             pool, held = [], 0
     if held:

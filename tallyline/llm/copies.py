@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import SKETCH, SeenTwice, partition_sketch, texts, written
 
 TEXT = ["mark", "check", "n_chars"]  # stands for a text: 64 + 32 bits and its length
-SKETCH_ROWS = 2
+SKETCH_ROWS, SKETCH_BITS = 2, 25
 
 
 def identified(docs: DataFrame, text: Column | None = None) -> DataFrame:
@@ -31,7 +31,7 @@ def identified(docs: DataFrame, text: Column | None = None) -> DataFrame:
     )
 
 
-def copied_marks(sizes: DataFrame, bits: int) -> SeenTwice:
+def copied_marks(sizes: DataFrame, bits: int = SKETCH_BITS) -> SeenTwice:
     """Marks that may stand in two rows or more."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         marks = (b.mark.to_numpy().view(np.uint64) for b in batches)
@@ -40,27 +40,50 @@ def copied_marks(sizes: DataFrame, bits: int) -> SeenTwice:
     return SeenTwice.collect(sizes.select("mark").mapInPandas(count, SKETCH), SKETCH_ROWS, bits)
 
 
-def first_texts(rows: DataFrame, sizes: DataFrame, copied: SeenTwice) -> DataFrame:
-    """Rows with `single`: True for a text no other row has, by the sketch, and
-    False for the first document of each of the other texts."""
-    shared = rows.sparkSession.sparkContext.broadcast((copied.rows, copied.bits, copied.cells))
+class Firsts:
+    """The rows that stand for their text, to be read with `of` in Python passes.
+
+    `rows` holds every row, marked doubtful, and the first document of each text
+    that more rows may have, not marked. A doubtful row counts when the sketch is
+    sure that no other row has its text, which only Python can ask.
+    """
+
+    def __init__(self, rows: DataFrame, sizes: DataFrame):
+        copied = copied_marks(sizes)
+        self.shared = rows.sparkSession.sparkContext.broadcast(
+            (copied.rows, copied.bits, copied.cells)
+        )
+        rows = rows.select("doc_id", "mark", "text")
+        least = sizes.groupBy(*TEXT).agg(F.min("doc_id").alias("doc_id"))
+        firsts = written(
+            rows.mapInPandas(self._copied(), "doc_id long, mark long, text string")
+            .join(least.select("doc_id", "mark"), ["doc_id", "mark"])
+            .dropDuplicates(["doc_id", "mark"])
+            .select("doc_id", "mark", "text"),
+            "firsts",
+        )
+        self.rows = rows.withColumn("doubtful", F.lit(True)).unionByName(
+            firsts.withColumn("doubtful", F.lit(False))
+        )
+
+    def _copied(self):
+        shared = self.shared
 
-    def part(single: bool):
         def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sketch = SeenTwice(*shared.value)
             for batch in batches:
-                may = sketch.maybe(batch.mark.to_numpy().view(np.uint64))
-                yield batch[may != single]
+                yield batch[sketch.maybe(batch.mark.to_numpy().view(np.uint64))]
 
         return pick
 
-    fields = "doc_id long, mark long, text string"
-    least = sizes.groupBy(*TEXT).agg(F.min("doc_id").alias("doc_id"))
-    doubtful = rows.select("doc_id", "mark", "text").mapInPandas(part(False), fields)
-    firsts = written(
-        doubtful.join(least.select("doc_id", "mark"), ["doc_id", "mark"])
-        .dropDuplicates(["doc_id", "mark"])
-        .select("doc_id", "mark", "text"),
-        "firsts",
-    )
-    return rows.select("doc_id", "mark", "text").mapInPandas(part(True), fields).unionByName(firsts)
+    def map(self, function, schema: str) -> DataFrame:
+        """mapInPandas over the rows that count, with doc_id, mark and text."""
+        shared = self.shared
+
+        def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sketch = SeenTwice(*shared.value)
+            for batch in batches:
+                may = sketch.maybe(batch.mark.to_numpy().view(np.uint64))
+                yield batch[~(batch.doubtful.to_numpy() & may)]
+
+        return self.rows.mapInPandas(lambda batches: function(counted(batches)), schema)

@@ -35,17 +35,17 @@ from .common import (
     written,
 )
 from .components import components
-from .copies import TEXT, copied_marks, first_texts, identified
+from .copies import TEXT, Firsts, identified
 
 SHINGLE, PERCENT = 5, 80
 # Cost of a candidate beside a list entry: few candidates pass the bounds on sizes
 # and places and have their texts compared.
 CANDIDATE = 0.25
 LONGEST = 8  # extra prefix shingles, and shared ones asked for, at most
-SKETCH_ROWS, SKETCH_BITS = 2, 25
+SKETCH_ROWS, SKETCH_BITS = 1, 27  # 16 MB as bits, in every task
 # The order's rare and frequent shingles are told apart on this many documents;
 # the order steers the cost only, results are exact with any.
-ORDER_DOCS, ORDER_LEAST, ORDER_MOST = 20_000, 3, 200_000
+ORDER_DOCS, ORDER_LEAST, ORDER_MOST = 10_000, 3, 200_000
 
 
 class Shingles:
@@ -75,44 +75,40 @@ def prefix(
     """
     n = len(shingles)
     keys, frequency = common
-    rank = np.zeros(n, np.int64)
+    need = least_overlap(n, percent)
+    size = n - need + min(longest, need)
+    ordered = shingles
     if len(keys):
         at = np.searchsorted(keys, shingles)
         at[at == len(keys)] = 0
-        rank = np.where(keys[at] == shingles, frequency[at], 0)
-    need = least_overlap(n, percent)
-    most = min(longest, need)
-    ordered = shingles[np.lexsort((shingles, rank))][: n - need + most]
-    level = np.maximum(np.arange(1, len(ordered) + 1) - (n - need), 1)
-    return ordered, level.astype(np.int32)
+        listed = keys[at] == shingles
+        if listed.any():
+            late = shingles[listed]
+            late = late[np.lexsort((late, frequency[at[listed]]))]
+            ordered = np.concatenate([shingles[~listed], late])
+    level = np.maximum(np.arange(1, size + 1) - (n - need), 1)
+    return ordered[:size], level.astype(np.int32)
 
 
 # --- passes over the texts ------------------------------------------------------
 
 
-def sizes_of(rows: DataFrame, shingle: int) -> DataFrame:
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sets = Shingles(shingle)
-        for batch in batches:
-            yield batch[["doc_id", *TEXT]].assign(n=[len(sets.of(t)) for t in batch.text])
-
-    return rows.mapInPandas(measure, "doc_id long, mark long, check long, n_chars int, n long")
-
-
 def common_shingles(
-    rows: DataFrame, shingle: int, docs: int = ORDER_DOCS, least: int = ORDER_LEAST,
+    rows: DataFrame, sizes: DataFrame, shingle: int, docs: int = ORDER_DOCS, least: int = ORDER_LEAST,
     most: int = ORDER_MOST,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in at least `least` of `docs` documents, `most` of them at most."""
+    """Shingles in at least `least` of `docs` different texts, `most` of them at most."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets = Shingles(shingle)
-        pool = []
+        pool, held = [], 0
         for batch in batches:
-            pool += [sets.of(t) for t in batch.text]
-            if sum(map(len, pool)) > 2_000_000:
-                yield tally(pool)
-                pool = []
+            for text in batch.text:
+                pool.append(sets.of(text))
+                held += len(pool[-1])
+                if held > 1_000_000:
+                    yield tally(pool)
+                    pool, held = [], 0
         if pool:
             yield tally(pool)
 
@@ -121,7 +117,8 @@ def common_shingles(
         return pd.DataFrame({"key": key.view(np.int64), "n": n.astype(np.int64)})
 
     chosen = (
-        rows.select("doc_id", "mark").orderBy(F.xxhash64("mark", F.lit(1)), "doc_id").limit(docs)
+        sizes.groupBy("mark").agg(F.min("doc_id").alias("doc_id"))
+        .orderBy(F.xxhash64("mark", F.lit(1))).limit(docs)
     )
     got = (
         rows.join(F.broadcast(chosen), ["doc_id", "mark"], "left_semi")
@@ -140,9 +137,9 @@ def common_shingles(
 
 
 def repeated_prefixes(
-    rows: DataFrame, common, shingle: int, percent: int, longest: int, depth: int, bits: int
+    firsts: Firsts, common, shingle: int, percent: int, longest: int, depth: int, bits: int
 ) -> SeenTwice:
-    shared = rows.sparkSession.sparkContext.broadcast(common)
+    shared = firsts.rows.sparkSession.sparkContext.broadcast(common)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets = Shingles(shingle)
@@ -151,14 +148,15 @@ def repeated_prefixes(
         )
         return partition_sketch(keys, depth, bits)
 
-    return SeenTwice.collect(rows.select("text").mapInPandas(count, SKETCH), depth, bits)
+    return SeenTwice.collect(firsts.map(count, SKETCH), depth, bits)
 
 
 def prefixed(
-    rows: DataFrame, common, seen: SeenTwice, shingle: int, percent: int, longest: int
+    firsts: Firsts, common, seen: SeenTwice, shingle: int, percent: int, longest: int
 ) -> DataFrame:
-    """Documents with prefix shingles that another document may have."""
-    shared = rows.sparkSession.sparkContext.broadcast((common, seen.rows, seen.bits, seen.cells))
+    """Sizes of all sets, and text and prefix shingles of those that another may share."""
+    context = firsts.rows.sparkSession.sparkContext
+    shared = context.broadcast((common, seen.rows, seen.bits, seen.cells))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common, *cells = shared.value
@@ -169,13 +167,16 @@ def prefixed(
                 found = sets.of(text)
                 keys, level = prefix(found, common, percent, longest)
                 may = sketch.maybe(keys)
-                if may.any():
-                    out.append(
-                        (doc_id, mark, len(found), text, keys[may].view(np.int64), level[may])
+                some = bool(may.any())
+                out.append(
+                    (
+                        doc_id, mark, len(found), text if some else None,
+                        keys[may].view(np.int64) if some else None, level[may] if some else None,
                     )
+                )
             yield pd.DataFrame(out, columns=["doc_id", "mark", "n", "text", "key", "level"])
 
-    return rows.mapInPandas(
+    return firsts.map(
         pick,
         "doc_id long, mark long, n int, text string, key array<long>, level array<int>",
     )
@@ -303,7 +304,7 @@ def verified(pairs: DataFrame, found: DataFrame, shingle: int, percent: int) ->
         def known(doc_id, mark, text):
             key = (doc_id, mark)
             if key not in recent:
-                if len(recent) > 200:
+                if len(recent) > 50:
                     recent.popitem(last=False)
                 recent[key] = sets.of(text)
             return recent[key]
@@ -337,31 +338,37 @@ def near_duplicates(
     looked at; an empty table gives none.
     """
     rows = identified(docs, fold(F.col("text")))
-    sizes = written(sizes_of(rows, shingle), "sizes")
-    firsts = first_texts(rows, sizes, copied_marks(sizes, bits))
-    common = common_shingles(firsts, shingle)
+    sizes = written(rows.drop("text"), "sizes")
+    firsts = Firsts(rows, sizes)
+    common = common_shingles(rows, sizes, shingle)
     seen = repeated_prefixes(firsts, common, shingle, percent, longest, SKETCH_ROWS, bits)
-    found = written(prefixed(firsts, common, seen, shingle, percent, longest), "found")
-    listed = written(postings(found), "listed")
+    every = written(prefixed(firsts, common, seen, shingle, percent, longest), "found")
+    listed = written(postings(every.where("key IS NOT NULL")), "listed")
+    # Texts are compared of documents with a shingle in a list only.
+    found = written(
+        every.select("doc_id", "mark", "text")
+        .join(listed.select("doc_id", "mark").distinct(), ["doc_id", "mark"]),
+        "compared",
+    )
     near = written(verified(with_leaders(listed, percent), found, shingle, percent), "near")
     roots = components(near)
     rest = written(
         verified(across(listed, roots, percent, longest), found, shingle, percent), "rest"
     )
-    copies = (
-        sizes.where("n > 0")
-        .join(
-            sizes.groupBy(*TEXT)
-            .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-            .where("least < most"),
-            TEXT,
-        )
-        .where("doc_id > least")
-        .select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    # Each row with the first document of its text, whose set is its own too.
+    least = sizes.groupBy(*TEXT).agg(F.min("doc_id").alias("least"))
+    n = every.select(F.col("doc_id").alias("least"), "mark", "n")
+    placed = written(
+        sizes.join(least, TEXT).join(n, ["least", "mark"]).select("doc_id", "least", "n"), "placed"
+    )
+    copies = placed.where("n > 0 AND doc_id > least").select(
+        F.col("least").alias("a"), F.col("doc_id").alias("b")
     )
     final = components(near.unionByName(rest).unionByName(copies))
-    out = sizes.join(final.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
+    out = placed.join(final.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_shingles"),
+        F.coalesce("root", "doc_id").alias("component_id"),
     )
     return named(out, "component_id")
 

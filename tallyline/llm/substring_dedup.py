@@ -29,10 +29,10 @@ from .common import (
     partition_sketch,
     written,
 )
-from .copies import TEXT, copied_marks, first_texts, identified
+from .copies import TEXT, Firsts, identified
 
 WINDOW, RUN = 50, 8  # words in a window, and in the runs an anchor is chosen from
-SKETCH_ROWS, SKETCH_BITS = 2, 25  # 2 x 2**25 cells: 8 MB as bits, in every task
+SKETCH_ROWS, SKETCH_BITS = 2, 27  # 2 x 2**27 cells: 32 MB as bits, in every task
 
 
 def smallest_inside(runs: np.ndarray, width: int) -> np.ndarray:
@@ -94,7 +94,7 @@ def measured(rows: DataFrame) -> DataFrame:
 
 
 def repeated_anchors(
-    rows: DataFrame, window: int, depth: int = SKETCH_ROWS, bits: int = SKETCH_BITS
+    firsts: Firsts, window: int, depth: int = SKETCH_ROWS, bits: int = SKETCH_BITS
 ) -> SeenTwice:
     """First pass: the merged sketch, as one bit for each cell of two or more."""
 
@@ -110,12 +110,13 @@ def repeated_anchors(
 
         return partition_sketch(keys(), depth, bits)
 
-    return SeenTwice.collect(rows.select("text").mapInPandas(count, SKETCH), depth, bits)
+    return SeenTwice.collect(firsts.map(count, SKETCH), depth, bits)
 
 
-def candidates(rows: DataFrame, seen: SeenTwice, window: int) -> DataFrame:
+def candidates(firsts: Firsts, seen: SeenTwice, window: int) -> DataFrame:
     """Second pass: documents with windows that may be repeated, and these windows."""
-    shared = rows.sparkSession.sparkContext.broadcast((seen.rows, seen.bits, seen.cells))
+    context = firsts.rows.sparkSession.sparkContext
+    shared = context.broadcast((seen.rows, seen.bits, seen.cells))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch, hashed = SeenTwice(*shared.value), Hashed(window)
@@ -135,7 +136,7 @@ def candidates(rows: DataFrame, seen: SeenTwice, window: int) -> DataFrame:
                     )
             yield pd.DataFrame(out, columns=["doc_id", "mark", "text", "h1", "h2", "start"])
 
-    return rows.mapInPandas(
+    return firsts.map(
         pick,
         "doc_id long, mark long, text string, h1 array<long>, h2 array<int>, start array<int>",
     )
@@ -194,7 +195,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bits: int = SKETCH_BIT
     """
     rows = identified(docs)
     sizes = written(measured(rows), "sizes")
-    firsts = first_texts(rows, sizes, copied_marks(sizes, bits))
+    firsts = Firsts(rows, sizes)
     found = written(candidates(firsts, repeated_anchors(firsts, window, bits=bits), window), "found")
     cut = shortened(found, repeated_starts(found), window)
     least = (
