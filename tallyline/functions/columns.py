@@ -36,7 +36,8 @@ def _filled(text: Column) -> Column:
 
 
 def score_label(score: Column) -> Column:
-    """Risk label of a 0-100 score."""
+    """Risk label of a 0-100 score. NaN compares with nothing and is LOW."""
+    score = F.nanvl(score.cast("double"), F.lit(0.0))
     return (
         F.when(score.isNull(), "UNKNOWN")
         .when(score >= HIGH_SCORE, "HIGH")
@@ -105,9 +106,9 @@ def discrepancy(amount: Column, posted: Column) -> Column:
 
 
 def risk_label(score: Column, flags: Column) -> Column:
-    """Compliance label from a 0-1 score and the policy flags text."""
+    """Compliance label from a 0-1 score and the policy flags text. NaN is no risk."""
     found = F.upper(F.coalesce(flags, F.lit("")))
-    risky = F.coalesce(score, F.lit(0.0)) > FRAUD_THRESHOLD
+    risky = F.coalesce(F.nanvl(score.cast("double"), F.lit(0.0)), F.lit(0.0)) > FRAUD_THRESHOLD
     return (
         F.when(risky | F.contains(found, F.lit("BLACKLIST")), "HIGH_RISK")
         .when(F.contains(found, F.lit("KYC")), "REQUIRES_KYC")

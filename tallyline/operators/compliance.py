@@ -26,7 +26,7 @@ def compliance_index(
     transactions: DataFrame, policies: DataFrame, signals: DataFrame
 ) -> DataFrame:
     """Policy flags, highest score and risk label of every transaction."""
-    worst = signals.groupBy("transaction_id").agg(F.max("fraud_score").alias("fraud_score"))
+    worst = signals.groupBy("transaction_id").agg(F.max(F.nanvl("fraud_score", F.lit(None).cast("double"))).alias("fraud_score"))
     flagged = policy_flags(transactions, policies)
     # Both sides are grouped by transaction: no key is hot.
     return flagged.join(worst, "transaction_id", "left").withColumn(

@@ -41,6 +41,17 @@ def rows_of(final: DataFrame, column: str, value: str) -> DataFrame:
     return _report(final, column, lambda c: c == value)
 
 
+def _with_columns(final: DataFrame) -> DataFrame:
+    """Columns of the sums below that the index lacks: no id, amount 0."""
+    missing = {
+        "user_id": F.lit(None).cast("string"),
+        "merchant_id": F.lit(None).cast("string"),
+        "transaction_id": F.lit(None).cast("string"),
+        "amount": F.lit(0).cast(MONEY),
+    }
+    return final.withColumns({c: v for c, v in missing.items() if c not in final.columns})
+
+
 def _mean(total: Column, n: Column) -> Column:
     """total / n as double, 0 for no rows."""
     return F.when(n > 0, F.try_divide(total.cast("double"), n.cast("double"))).otherwise(0.0)
@@ -65,6 +76,7 @@ def merchant_summary(final: DataFrame, merchant: str | None = None) -> DataFrame
 
 def user_spend(final: DataFrame, user: str | None = None, time: str = "event_time") -> DataFrame:
     """Spend, number of merchants and last transaction per user, or of one user."""
+    final = _with_columns(final)
     if user is not None:
         final = rows_of(final, "user_id", user)
     last = F.col(time) if time in final.columns else F.lit(None).cast("timestamp")
@@ -85,7 +97,7 @@ def user_spend(final: DataFrame, user: str | None = None, time: str = "event_tim
 def merchant_aggregate(final: DataFrame) -> DataFrame:
     """Merchants by volume, the rows without a merchant as a group of their own."""
     return (
-        final.groupBy("merchant_id")
+        _with_columns(final).groupBy("merchant_id")
         .agg(
             F.coalesce(F.sum("amount"), F.lit(0)).alias("total_volume"),
             F.count("transaction_id").alias("tx_count"),
@@ -99,7 +111,7 @@ def top_merchants(final: DataFrame, n: int = 5) -> DataFrame:
     """The merchants of highest volume; a missing id is UNKNOWN, a missing amount 0."""
     merchant = F.coalesce(F.nullif(F.col("merchant_id"), F.lit("")), F.lit("UNKNOWN"))
     return (
-        final.groupBy(merchant.alias("merchant"))
+        _with_columns(final).groupBy(merchant.alias("merchant"))
         .agg(F.sum(F.coalesce("amount", F.lit(0))).alias("volume"))
         .orderBy(F.col("volume").desc(), "merchant")
         .limit(n)

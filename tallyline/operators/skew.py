@@ -152,6 +152,8 @@ def skew_join(
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     keys = [on] if isinstance(on, str) else list(on)
+    if not _sketchable(left, right, keys):
+        return left.join(right, keys, how)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
     # Below, an unmatched row is told apart by its key, which a hash cannot do.
@@ -218,6 +220,17 @@ def skew_join(
     return reduce(DataFrame.unionByName, [cold, joined, *parts])
 
 
+def _sketchable(left: DataFrame, right: DataFrame, keys: list[str]) -> bool:
+    """Both sides spell a key alike, in a type the sketch takes.
+
+    Otherwise a key could look hot on one side only, and its matches be lost:
+    such joins are left to Spark whole.
+    """
+    kinds = [(left.schema[k].dataType.simpleString(), right.schema[k].dataType.simpleString()) for k in keys]
+    odd = ("binary", "array", "map", "struct", "variant", "interval")
+    return all(a == b and not a.startswith(odd) for a, b in kinds)
+
+
 def _bytes_per_row(df: DataFrame) -> Column:
     size = F.lit(0)
     for f in df.schema.fields:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from ..staging import CATEGORIES, COLORS, CURRENCIES, DEVICES, MAX_ITEMS, POLICY_DETAILS
+from ..staging import CATEGORIES, COLORS, CURRENCIES, DEVICES, POLICY_DETAILS
 from ..staging import POLICY_TYPES, REASONS, REGIONS, RISK_LEVELS
 
 
@@ -148,13 +148,8 @@ VIEWS = {
         LEFT JOIN (SELECT transaction_id, max(payout_due_date) AS payout_due_date FROM sched
                    GROUP BY 1) p ON p.transaction_id = fin.transaction_id""",
     # The items of nested transactions, straight from the line items.
-    "lines": f"""
-        SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
-                   l_suppkey, l_extendedprice, l_quantity) - 1) // {MAX_ITEMS} AS part_no
-        FROM lineitem""",
     "ntx": f"""
-        SELECT CASE WHEN coalesce(part_no, 0) = 0 THEN CAST(o_orderkey AS VARCHAR)
-                    ELSE o_orderkey || '#' || part_no END AS transaction_id,
+        SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id,
                'USR-' || o_custkey AS user_id, {_merchant('sk')} AS merchant_id,
                {_pick(REGIONS, 'o_custkey')} AS region,
                year(o_orderdate) || '-01-01' AS dt,
@@ -163,18 +158,17 @@ VIEWS = {
                CAST(o_custkey % 180 - 90 AS DOUBLE) AS lat,
                CAST(o_custkey % 360 - 180 AS DOUBLE) AS lon, value
         FROM orders LEFT JOIN
-             (SELECT l_orderkey, part_no, min(l_suppkey) AS sk,
+             (SELECT l_orderkey, min(l_suppkey) AS sk,
                      SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS INTEGER))
                          AS value
-              FROM lines GROUP BY ALL) ON l_orderkey = o_orderkey""",
+              FROM lineitem GROUP BY ALL) ON l_orderkey = o_orderkey""",
     "item": f"""
-        SELECT CASE WHEN part_no = 0 THEN CAST(o_orderkey AS VARCHAR)
-                    ELSE o_orderkey || '#' || part_no END AS transaction_id,
+        SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id,
                {_pick(REGIONS, 'o_custkey')} AS region, year(o_orderdate) || '-01-01' AS dt,
                CAST(l_partkey AS VARCHAR) AS sku, l_extendedprice AS price,
                CAST(l_quantity AS BIGINT) AS quantity,
                CASE WHEN l_linenumber <> 1 THEN {_pick(COLORS, 'l_partkey')} END AS color
-        FROM orders JOIN lines ON l_orderkey = o_orderkey""",
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
     "nusr": """
         SELECT 'USR-' || c_custkey AS user_id, string_split(c_name, '#')[1] AS first_name,
                string_split(c_name, '#')[2] AS last_name,
@@ -361,7 +355,10 @@ QUERIES = {
     "WHERE risk_label IN ('HIGH_RISK', 'REQUIRES_KYC', 'BLACKLISTED')",
     "settlements_due": f"SELECT {REPORT}, {_day('payout_due_date')} AS payout_due_date FROM rep "
     "WHERE payout_due_date IS NOT NULL",
-    "column_guard": f"SELECT transaction_id, {_dbl('amount')} AS amount FROM batch WHERE false",
+    "column_guard": (
+        "SELECT user_id, CAST(0 AS DOUBLE) AS total_spend, "
+        "count(DISTINCT merchant_id) AS unique_merchants FROM rep GROUP BY user_id"
+    ),
     "merchant_rows": f"SELECT {REPORT} FROM rep WHERE merchant_id = 'MCH-A4'",
     "user_rows": f"SELECT {REPORT} FROM rep WHERE user_id = 'USR-7'",
     "literal_tag": "SELECT transaction_id, 'transactions' AS source FROM tx",

@@ -335,8 +335,10 @@ def _(spark, d):
 
 @query("column_guard")
 def _(spark, d):
-    """A report over an index without its column is empty but keeps the columns."""
-    return reports.fraud_alerts(lake.batch_index(spark, d)).select("transaction_id", "amount")
+    """Spend by user over an index without amounts: all zero, not an error."""
+    return reports.user_spend(lake.report_index(spark, d).drop("amount")).select(
+        "user_id", "total_spend", "unique_merchants"
+    )
 
 
 @query("merchant_rows")

@@ -47,7 +47,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def size_shuffles(
-    spark: SparkSession, *paths: str, bytes_each: int = 256 << 20, most: int = 100_000
+    spark: SparkSession, *paths: str, bytes_each: int = 256 << 20, most: int | None = None
 ) -> int:
     """Start shuffles with enough partitions for the given inputs.
 
@@ -56,7 +56,9 @@ def size_shuffles(
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     total = files.load(list(paths)).agg(F.sum("length")).first()[0] or 0
-    wanted = min(most, math.ceil(total / bytes_each))
+    wanted = math.ceil(total / bytes_each)
+    if most:
+        wanted = min(most, wanted)
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > usual:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))

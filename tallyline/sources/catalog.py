@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import NESTED, partition_columns
@@ -49,13 +49,21 @@ def show_partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
+def _unescaped(value: Column) -> Column:
+    # A plus sign is not escaped in directory names, but would decode to a space.
+    return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+
+
 def partitions_metadata(spark: SparkSession, table: str) -> DataFrame:
-    """One row per partition with a column per partition column; no file is opened."""
+    """One row per partition with a column per partition column; no file is opened.
+
+    Directory names escape some characters as %XX; values come back as they were.
+    """
     listed = show_partitions(spark, table)
     parts = spark.table(table).select("*").schema.names[-2:]
     pairs = F.split("partition", "/")
     return listed.select(
-        *[F.split(pairs[i], "=")[1].alias(name) for i, name in enumerate(parts)]
+        *[_unescaped(F.substring_index(pairs[i], "=", -1)).alias(name) for i, name in enumerate(parts)]
     ).orderBy(*parts)
 
 

@@ -10,12 +10,18 @@ from .sinks import write_table
 
 
 def posted_records(payloads: DataFrame, column: str = "value") -> DataFrame:
-    """One JSON object per row from payloads holding an object or a list of them."""
+    """One JSON object per row from payloads holding an object or a list of them.
+
+    A list that does not parse stays one record, which is rejected later; an empty
+    list holds none.
+    """
     text = F.trim(F.col(column))
     items = F.try_variant_get(F.try_parse_json(F.col(column)), "$", "array<variant>")
     listed = F.transform(items, lambda v: F.to_json(v))
+    whole = F.array(F.coalesce(text, F.lit("")))
+    several = F.when(listed.isNotNull(), listed).otherwise(whole)
     return payloads.select(
-        F.explode(F.when(text.startswith("["), listed).otherwise(F.array(text))).alias("record")
+        F.explode(F.when(text.startswith("["), several).otherwise(whole)).alias("record")
     )
 
 

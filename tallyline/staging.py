@@ -33,8 +33,6 @@ POLICY_DETAILS = [
     None,
     '{"region": "GLOBAL", "velocity_limit": 5}',
 ]
-# A nested transaction row holds at most this many items; more go to further rows.
-MAX_ITEMS = 1000
 
 
 def pick(values: list[str], index: Column) -> Column:
@@ -193,22 +191,13 @@ def nested_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = test_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
     )
-    hot = hot_keys(lines, "l_orderkey")
-    lines = number_rows(
-        lines,
-        "l_orderkey",
-        ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
-        "item_no",
-        hot=hot,
-    )
     attributes = F.when(
         F.col("l_linenumber") != 1,
         F.create_map(F.lit("size"), F.lit("M"), F.lit("color"), pick(COLORS, F.col("l_partkey"))),
     ).otherwise(F.create_map(F.lit("size"), F.lit("M")))
-    # No array grows with an order: item 1001 starts a second row of the order.
+    # One row per order, as the schema has it: an array is as long as its order.
     items = (
-        lines.withColumn("part_no", F.floor((F.col("item_no") - 1) / MAX_ITEMS))
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"), "part_no")
+        lines.groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.min("l_suppkey").alias("suppkey"),
             F.collect_list(
@@ -230,10 +219,8 @@ def nested_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("promo_code"), F.concat(F.lit("PROMO"), (key % 100).cast("string"))
     )
     orders = test_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return skew_join(orders, items, "o_orderkey", "left", hot_right=hot).select(
-        F.when(F.coalesce(F.col("part_no"), F.lit(0)) == 0, key.cast("string"))
-        .otherwise(F.concat_ws("#", key.cast("string"), F.col("part_no").cast("string")))
-        .alias("transaction_id"),
+    return orders.join(items, "o_orderkey", "left").select(
+        key.cast("string").alias("transaction_id"),
         user_id(cust).alias("user_id"),
         merchant_id(F.col("suppkey")).alias("merchant_id"),
         "items",

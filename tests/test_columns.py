@@ -147,3 +147,13 @@ def test_daily_kpi_sums_before_the_factor(spark):
     )
     got = {str(r.day): r.kpi for r in enrichment.daily_merchant_kpi(df).collect()}
     assert got == {"2025-01-01": Decimal("16.50"), "2025-01-02": Decimal("1.10")}
+
+
+def test_nan_scores_are_low(spark):
+    from tallyline.functions import columns as C
+
+    row = spark.range(1).select(
+        C.score_label(F.lit(float("nan"))).alias("a"),
+        C.risk_label(F.lit(float("nan")), F.lit(None).cast("string")).alias("b"),
+    ).first()
+    assert (row.a, row.b) == ("LOW", "OK")

@@ -177,3 +177,16 @@ def test_number_rows_cuts_a_hot_key_into_ranges(spark):
     assert "__range" in plan_of(got)
     checks = got.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first()
     assert tuple(checks) == (4000, 1, 4000)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("pair", [("int", "bigint"), ("decimal(18,2)", "bigint"), ("binary", "binary")])
+def test_keys_of_other_types_join_as_plain(spark, how, pair):
+    """A key that is hot on one side only may not lose its matches."""
+    a, b = pair
+    as_key = "CAST(CAST(id % 2 AS STRING) AS BINARY)" if a == "binary" else f"CAST(id % 2 AS {a})"
+    bs_key = "CAST(CAST(id % 2 AS STRING) AS BINARY)" if b == "binary" else f"CAST(id % 2 AS {b})"
+    left = spark.range(200).selectExpr(f"{as_key} AS k", "CAST(id % 3 AS INT) AS d", "id AS x")
+    right = spark.range(12).selectExpr(f"{bs_key} AS k", "CAST(id % 3 AS INT) AS d", "id AS y")
+    got = skew.skew_join(left, right, ["k", "d"], how, share=0.1, min_rows=5)
+    assert bag(got.select("x", "y")) == bag(left.join(right, ["k", "d"], how).select("x", "y"))

@@ -137,3 +137,26 @@ def test_explain_shows_the_partition_filter(spark, locations):
         "AND environment = 'DEV'"
     ).first()[0]
     assert "PartitionFilters" in text and "dt" in text.split("PartitionFilters")[1]
+
+
+def test_no_payload_vanishes(spark):
+    from tallyline.sources import signals
+
+    texts = ['[{"fraud_signal_id": ', "[]", "7", "", None, '{"bad', '[{"fraud_signal_id": "1"}]']
+    payloads = spark.createDataFrame([(t,) for t in texts], "value string")
+    accepted, rejected = signals.ingest_signals(payloads)
+    assert accepted.count() + rejected.count() == len(texts) - 1  # the empty list has none
+
+
+def test_partition_values_are_unescaped(spark, tmp_path):
+    import uuid
+
+    from tallyline.sources import catalog
+
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    rows = [(1, "2024-01-01", "N/A"), (2, "2024-01-01", "a=b"), (3, "2024-01-02", "x+y")]
+    spark.createDataFrame(rows, "id int, dt string, region string").write.partitionBy(
+        "dt", "region"
+    ).saveAsTable(name)
+    got = catalog.partitions_metadata(spark, name).collect()
+    assert {(r.dt, r.region) for r in got} == {(dt, region) for _, dt, region in rows}
