@@ -171,7 +171,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     groups = written(rows.groupBy("place").agg(F.sum("size").alias("size")), "groups")
     _, cuts = best_cuts(groups, shards)
     number = reduce(
-        lambda a, b: a + b, [(F.col("place") >= c).cast("int") for c in cuts], F.lit(0)
+        lambda a, b: a + b, [(F.col("place") >= c).cast("int") for c in cuts if c < 1 << BITS], F.lit(0)
     )
     placed = rows.withColumn("shard", number)
     out = ranked(placed, "shard", ["place", "doc_id", "size", "text_crc32"])
