@@ -17,15 +17,19 @@ from pyspark.sql import functions as F
 
 # A key is hot when it holds at least this share of the rows ...
 HOT_SHARE = 1 / 128
-# ... and more rows than any single task should mind.
+# ... and more rows than any single task should mind ...
 HOT_ROWS = 50_000
-# No more than 1 / HOT_SHARE keys can reach the share, which bounds every list below.
-MAX_HOT_KEYS = 128
-# Counts of the sketch are off by at most 1 / (0.75 * SKETCH_ITEMS) of the rows.
-SKETCH_ITEMS = 1024
+# ... or, in a table of any size, more rows than a task should take.
+TASK_ROWS = 4_000_000
+# Counts of the sketch are off by at most 1 / (0.75 * SKETCH_ITEMS) of the rows, so
+# no more keys than this can be told from noise, which bounds every list below.
+SKETCH_ITEMS = 4096
+MAX_HOT_KEYS = 3072
 # Tasks that merge the sketches of all others before one merges theirs.
 MERGE_SLOTS = 256
-MAX_SALTS = 512
+MAX_SALTS = 65_536
+# Ranges a key is cut into by `number_rows`, and rows sampled to find them.
+MAX_RANGES, RANGE_SAMPLE = 512, 500_000
 
 
 @dataclass(frozen=True)
@@ -34,6 +38,7 @@ class HotKeys:
 
     slices: dict = field(default_factory=dict)
     null_is_hot: bool = False
+    rows_each: float = 1.0  # rows of a slice, about
 
     @property
     def values(self) -> list:
@@ -44,7 +49,7 @@ class HotKeys:
         slices = dict(self.slices)
         for key, n in other.slices.items():
             slices[key] = min(MAX_SALTS, slices.get(key, 1) * n)
-        return HotKeys(slices, self.null_is_hot)
+        return HotKeys(slices, self.null_is_hot, self.rows_each)
 
 
 def _key_column(df: DataFrame, keys: list[str], exact: bool = False) -> Column:
@@ -62,7 +67,10 @@ def hot_keys(
     min_rows: int = HOT_ROWS,
     exact: bool = False,
 ) -> HotKeys:
-    """Find the keys that hold at least `share` of the rows and `min_rows` rows."""
+    """Find the keys that hold at least `share` of the rows and `min_rows` rows.
+
+    In large tables TASK_ROWS rows are enough, whatever their share.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     row = (
         df.select(
@@ -84,7 +92,7 @@ def hot_keys(
     )
     if row is None:  # no rows, no sketch
         return HotKeys()
-    floor = max(min_rows, share * row.n, 2)
+    floor = max(min(max(min_rows, share * row.n), TASK_ROWS), 2)
     slices, null_is_hot = {}, False
     for item, count in row.top:
         if count < floor:
@@ -93,7 +101,7 @@ def hot_keys(
             null_is_hot = True
         else:
             slices[item] = min(MAX_SALTS, max(2, math.ceil(count / floor)))
-    return HotKeys(slices, null_is_hot)
+    return HotKeys(slices, null_is_hot, floor)
 
 
 def _slices_of(key: Column, hot: HotKeys) -> Column:
@@ -286,7 +294,7 @@ def number_rows(
         hot = hot_keys(df, keys, share, min_rows)
     if hot.null_is_hot:
         # A null group is a group like any other here.
-        hot = HotKeys({**hot.slices, None: MAX_SALTS // 8}, False)
+        hot = HotKeys({**hot.slices, None: MAX_RANGES // 8}, False, hot.rows_each)
     if not hot.slices:
         return df.withColumn(name, F.row_number().over(plain))
 
@@ -297,10 +305,17 @@ def number_rows(
         is_hot = is_hot | key.isNull()
 
     cold = df.where(~is_hot).withColumn(name, F.row_number().over(plain))
-    marks = _range_marks(df.where(is_hot), order, hot)
     place = F.struct(*[F.col(c) for c in order])
-    ranged = df.where(is_hot).withColumn(
-        "__range", reduce(lambda a, b: a + b, [(place >= m).cast("int") for m in marks], F.lit(0))
+    marks = _range_marks(df.where(is_hot), key, place, hot)
+    ranged = (
+        df.where(is_hot)
+        .withColumn("__key", key)
+        .join(F.broadcast(marks), F.col("__key").eqNullSafe(F.col("__of")), "left")
+        .withColumn(
+            "__range",
+            F.coalesce(F.size(F.filter("__marks", lambda m: place >= m)), F.lit(0)),
+        )
+        .drop("__key", "__of", "__marks")
     )
     # At most one row per hot key and range: small enough to broadcast.
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(
@@ -328,22 +343,24 @@ def number_rows(
     return cold.unionByName(hot_rows)
 
 
-def _range_marks(df: DataFrame, order: list[str], hot: HotKeys) -> list[Column]:
-    """Cut points of `order`, as literals, so every use of them agrees.
+def _range_marks(df: DataFrame, key: Column, place: Column, hot: HotKeys) -> DataFrame:
+    """(__of, __marks): the cut points of each hot key, at most MAX_RANGES of them.
 
-    They come from a sample; an uneven sample makes uneven ranges, never a
+    Given as values, so every use of them agrees. They come from a sample of at
+    most about RANGE_SAMPLE rows; an uneven sample makes uneven ranges, never a
     wrong number.
     """
-    wanted = min(MAX_SALTS, max(hot.slices.values()))
-    total = df.count()
-    fraction = min(1.0, wanted * 64 / max(total, 1))
-    sample = df.select(*order).sample(fraction, seed=7).orderBy(*order).collect()
-    step = max(1, len(sample) // wanted)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    marks, seen = [], set()
-    for row in sample[step::step]:
-        if tuple(row) in seen:
-            continue
-        seen.add(tuple(row))
-        marks.append(F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in order]))
-    return marks
+    wanted = {k: min(MAX_RANGES, n) for k, n in hot.slices.items()}
+    fraction = min(1.0, 64 / hot.rows_each, RANGE_SAMPLE / (hot.rows_each * sum(hot.slices.values())))
+    sample = df.select(key.alias("__of"), place.alias("__place")).sample(fraction, seed=7)
+    places: dict = {}
+    for row in sample.orderBy("__place").collect():
+        places.setdefault(row[0], []).append(row[1])
+    marks = []
+    for of, found in places.items():
+        step = max(1, len(found) // wanted.get(of, 1))
+        marks.append((of, list(dict.fromkeys(found[step::step]))))
+    kinds = {f.name: f.dataType.simpleString() for f in sample.schema.fields}
+    return df.sparkSession.createDataFrame(
+        marks, f"__of {kinds['__of']}, __marks array<{kinds['__place']}>"
+    )
