@@ -61,6 +61,25 @@ class Shingles:
         return np.unique(self.sums.of(self.words.of(words), min(self.size, len(words))))
 
 
+SIGN = [f"sign{i}" for i in range(8)]  # 512 bits
+
+
+def sign(shingles: np.ndarray) -> np.ndarray:
+    """Each bit says whether an odd number of shingles falls on it.
+
+    Two signs differ in at most as many bits as their sets have shingles apart.
+    """
+    odd = np.bincount((shingles & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def near_signs(a: str, b: str, percent: int) -> Column:
+    """False for pairs whose signs differ in more bits than the similarity allows."""
+    apart = sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SIGN)
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return apart * (100 + percent) <= (100 - percent) * both
+
+
 def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
@@ -172,13 +191,21 @@ def prefixed(
                     (
                         doc_id, mark, len(found), text if some else None,
                         keys[may].view(np.int64) if some else None, level[may] if some else None,
+                        sign(found) if some else None,
                     )
                 )
-            yield pd.DataFrame(out, columns=["doc_id", "mark", "n", "text", "key", "level"])
+            yield pd.DataFrame(out, columns=["doc_id", "mark", "n", "text", "key", "level", "sign"])
 
     return firsts.map(
         pick,
-        "doc_id long, mark long, n int, text string, key array<long>, level array<int>",
+        "doc_id long, mark long, n int, text string, key array<long>, level array<int>,"
+        " sign array<long>",
+    )
+
+
+def signs(found: DataFrame) -> DataFrame:
+    return found.select(
+        "doc_id", "mark", "n", *[F.col("sign")[i].alias(s) for i, s in enumerate(SIGN)]
     )
 
 
@@ -223,6 +250,17 @@ def with_leaders(listed: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def alike(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signs allow the similarity: the others need no texts."""
+    a, b = signs(found).alias("x"), signs(found).alias("y")
+    return (
+        pairs.join(b, (F.col("b") == F.col("y.doc_id")) & (F.col("b_mark") == F.col("y.mark")))
+        .join(a, (F.col("a") == F.col("x.doc_id")) & (F.col("a_mark") == F.col("x.mark")))
+        .where(near_signs("x", "y", percent))
+        .select("a", "a_mark", "b", "b_mark")
+    )
+
+
 def matches_asked(listed: DataFrame, longest: int) -> DataFrame:
     """Add `l`, the matches asked of a document, at the smallest estimated cost.
 
@@ -246,7 +284,9 @@ def matches_asked(listed: DataFrame, longest: int) -> DataFrame:
     return listed.join(chosen.select("doc_id", "mark", F.col("best.l").alias("l")), ["doc_id", "mark"])
 
 
-def across(listed: DataFrame, roots: DataFrame, percent: int, longest: int) -> DataFrame:
+def across(
+    listed: DataFrame, found: DataFrame, roots: DataFrame, percent: int, longest: int
+) -> DataFrame:
     """Pairs of documents in different components that share enough prefix shingles."""
     placed = listed.join(
         roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left"
@@ -264,7 +304,8 @@ def across(listed: DataFrame, roots: DataFrame, percent: int, longest: int) -> D
     asked = asked.withColumn("upto", F.row_number().over(own)).withColumn(
         "after", F.count("*").over(whole) - F.col("upto")
     )
-    asked = written(asked.drop("place"), "asked")
+    asked = asked.drop("place").join(signs(found).drop("n"), ["doc_id", "mark"])
+    asked = written(asked, "asked")
     a, b = asked.alias("a"), asked.alias("b")
     least = F.least("a.l", "b.l")
     # Beyond the prefixes, no more than the longer rest can be shared; what the two
@@ -280,7 +321,8 @@ def across(listed: DataFrame, roots: DataFrame, percent: int, longest: int) -> D
             & (F.col("a.root") != F.col("b.root"))
             & near_sizes(F.col("a.n"), F.col("b.n"), percent)
             & (F.greatest("a.level", "b.level") <= least)
-            & (possible >= more + least),
+            & (possible >= more + least)
+            & near_signs("a", "b", percent),
         )
         .groupBy(
             F.col("a.doc_id").alias("a"), F.col("a.mark").alias("a_mark"),
@@ -346,14 +388,15 @@ def near_duplicates(
     listed = written(postings(every.where("key IS NOT NULL")), "listed")
     # Texts are compared of documents with a shingle in a list only.
     found = written(
-        every.select("doc_id", "mark", "text")
+        every.select("doc_id", "mark", "n", "text", "sign")
         .join(listed.select("doc_id", "mark").distinct(), ["doc_id", "mark"]),
         "compared",
     )
-    near = written(verified(with_leaders(listed, percent), found, shingle, percent), "near")
+    led = alike(with_leaders(listed, percent), found, percent)
+    near = written(verified(led, found, shingle, percent), "near")
     roots = components(near)
     rest = written(
-        verified(across(listed, roots, percent, longest), found, shingle, percent), "rest"
+        verified(across(listed, found, roots, percent, longest), found, shingle, percent), "rest"
     )
     # Each row with the first document of its text, whose set is its own too.
     least = sizes.groupBy(*TEXT).agg(F.min("doc_id").alias("least"))
