@@ -50,11 +50,11 @@ def named(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write to the shared folder and read back: a lost executor repeats one job only."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -209,6 +209,33 @@ class SeenTwice:
         return cls(rows, bits, cells)
 
 
+AMONG_BITS = 26
+
+
+def among(df: DataFrame, ids: DataFrame, bits: int = AMONG_BITS) -> DataFrame:
+    """Rows of `df` whose doc_id may be in `ids` (column doc_id), told before any shuffle.
+
+    Drops no row whose doc_id is there, and keeps few others while the ids are
+    fewer than the bits. The bitmap that is broadcast takes 2**bits / 8 bytes at
+    most, whatever the number of ids.
+    """
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)) + 1
+    maps = (
+        ids.select(cell.alias("cell")).distinct()
+        .groupBy(F.bitmap_bucket_number("cell").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("_map"))
+    )
+    marked = df.withColumns(
+        {"_bucket": F.bitmap_bucket_number(cell), "_bit": F.bitmap_bit_position(cell)}
+    )
+    byte = F.conv(F.hex(F.expr("substring(_map, int(_bit div 8) + 1, 1)")), 16, 10).cast("int")
+    return (
+        marked.join(F.broadcast(maps), "_bucket")
+        .where(F.getbit(byte, F.expr("int(_bit % 8)")) == 1)
+        .select(*df.columns)
+    )
+
+
 def partition_sketch(key_arrays: Iterator[np.ndarray], rows: int, bits: int) -> Iterator[pd.DataFrame]:
     """The count-min sketch of one partition as its counters that are not zero.
 

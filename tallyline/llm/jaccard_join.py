@@ -29,6 +29,7 @@ from .common import (
     SeenTwice,
     WordHashes,
     Windows,
+    among,
     fold,
     named,
     partition_sketch,
@@ -336,9 +337,15 @@ def across(
 
 def verified(pairs: DataFrame, found: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets have the similarity."""
-    text = lambda end: found.select(
-        F.col("doc_id").alias(end), F.col("mark").alias(f"{end}_mark"), F.col("text").alias(f"{end}_text")
-    )
+    pairs = written(pairs, "pairs")
+
+    def text(end: str) -> DataFrame:
+        """Texts of this end of the pairs: the others need not be shuffled."""
+        ends = pairs.select(F.col(end).alias("doc_id"))
+        return among(found.select("doc_id", "mark", "text"), ends).select(
+            F.col("doc_id").alias(end), F.col("mark").alias(f"{end}_mark"),
+            F.col("text").alias(f"{end}_text"),
+        )
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets, recent = Shingles(shingle), OrderedDict()
@@ -384,14 +391,9 @@ def near_duplicates(
     firsts = Firsts(rows, sizes)
     common = common_shingles(rows, sizes, shingle)
     seen = repeated_prefixes(firsts, common, shingle, percent, longest, SKETCH_ROWS, bits)
-    every = written(prefixed(firsts, common, seen, shingle, percent, longest), "found")
-    listed = written(postings(every.where("key IS NOT NULL")), "listed")
-    # Texts are compared of documents with a shingle in a list only.
-    found = written(
-        every.select("doc_id", "mark", "n", "text", "sign")
-        .join(listed.select("doc_id", "mark").distinct(), ["doc_id", "mark"]),
-        "compared",
-    )
+    every = written(prefixed(firsts, common, seen, shingle, percent, longest), "found", "zstd")
+    found = every.where("key IS NOT NULL")
+    listed = written(postings(found), "listed")
     led = alike(with_leaders(listed, percent), found, percent)
     near = written(verified(led, found, shingle, percent), "near")
     roots = components(near)

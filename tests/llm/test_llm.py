@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parents[1]))
 
 import corpus_pipeline  # noqa: E402
+from tallyline.llm.common import among  # noqa: E402
 from tallyline.llm import (  # noqa: E402
     exact_dedup,
     jaccard_join,
@@ -307,3 +308,14 @@ def test_pipeline_keeps_columns_and_packs(spark, data_dir):
     packed = corpus_pipeline.run(spark, data_dir)
     over = packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024")
     assert packed.count() > 0 and over.count() == 0
+
+
+def test_among_drops_no_listed_row(spark):
+    """Few bits let other rows through, many keep to the list; a listed row always stays."""
+    rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    ids = spark.range(0, 2000, 40).select(F.col("id").alias("doc_id"))
+    want = set(range(0, 2000, 40))
+    for bits, most in ((6, 2000), (26, 51)):
+        got = {r.doc_id for r in among(rows, ids, bits).collect()}
+        assert want <= got and len(got) <= most
+    assert among(rows, ids.limit(0)).count() == 0
