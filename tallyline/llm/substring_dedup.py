@@ -25,6 +25,7 @@ from .common import (
     SeenTwice,
     WordHashes,
     Windows,
+    among,
     named,
     partition_sketch,
     written,
@@ -177,7 +178,7 @@ def shortened(found: DataFrame, starts: DataFrame, window: int) -> DataFrame:
             )
 
     return (
-        found.select("doc_id", "mark", "text")
+        among(found.select("doc_id", "mark", "text"), starts)
         .join(starts, ["doc_id", "mark"])
         .mapInPandas(cut, "doc_id long, mark long, removed long, left string")
     )
@@ -196,8 +197,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bits: int = SKETCH_BIT
     rows = identified(docs)
     sizes = written(measured(rows), "sizes")
     firsts = Firsts(rows, sizes)
-    found = written(candidates(firsts, repeated_anchors(firsts, window, bits=bits), window), "found")
-    cut = shortened(found, repeated_starts(found), window)
+    seen = repeated_anchors(firsts, window, bits=bits)
+    found = written(candidates(firsts, seen, window), "found", "zstd")
+    cut = shortened(found, written(repeated_starts(found), "starts"), window)
     least = (
         sizes.groupBy(*TEXT)
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
