@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import named, texts
+from .common import among, named, texts
 
 # What words are, the symbols counted, and the base rules' bounds.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -22,8 +22,7 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
-BUCKETS = 1 << 14
-TRUSTED = 20_000  # trusted documents the target is counted from, at most
+BUCKETS = 1 << 20  # what every task holds is a number of 4 bytes for each
 SMOOTHING = 1.0
 THRESHOLD = -0.3  # mean log ratio below which a document is not kept
 
@@ -141,32 +140,29 @@ def ngram_buckets(text: Column, buckets: int) -> Column:
     return let(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), both)
 
 
-def log_ratios(
-    docs: DataFrame, marks: DataFrame, buckets: int = BUCKETS, most: int = TRUSTED
-) -> DataFrame:
+def log_ratios(docs: DataFrame, marks: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row: array `ratios` of log P(bucket | trusted) - log P(bucket | corpus).
 
-    The corpus is counted whole. The target is counted over at most `most`
-    documents marked as good; the hash of doc_id decides which.
+    Both are counted whole: the corpus over every row, the target over every row
+    whose document is marked as good. Only texts that may be trusted are shuffled.
     """
     good = (
         marks.where("quality > 0 AND doc_id IS NOT NULL")
         .select(F.col("doc_id").cast("long"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
         .distinct()
-        .withColumn("_trusted", F.lit(1))
     )
+    rows = texts(docs)
+    # Not a semi join: Spark would move that below the bitmap and shuffle every text.
+    trusted = among(rows, good).join(good, "doc_id")
+    count = lambda raw, good: (F.lit(raw).alias("raw"), F.lit(good).alias("good"))
     grams = (
-        texts(docs)
-        .join(F.broadcast(good), "doc_id", "left")
-        .select("_trusted", F.explode(ngram_buckets(F.col("text"), buckets)).alias("bucket"))
-    )
-    counts = grams.groupBy("bucket").agg(
-        F.count("*").alias("raw"), F.count("_trusted").alias("good")
+        rows.select("text", *count(1, 0))
+        .unionByName(trusted.select("text", *count(0, 1)))
+        .select("raw", "good", F.explode(ngram_buckets(F.col("text"), buckets)).alias("bucket"))
     )
+    counts = grams.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    counts = every.join(F.broadcast(counts), "bucket", "left").na.fill(0)
+    counts = every.join(counts, "bucket", "left").na.fill(0)
     lists = counts.agg(
         F.sum("raw").alias("raws"),
         F.sum("good").alias("goods"),
@@ -178,7 +174,7 @@ def log_ratios(
             "rows",
             lambda r: F.when(
                 F.col("goods") > 0, share(r["good"], F.col("goods")) - share(r["raw"], F.col("raws"))
-            ).otherwise(F.lit(0.0)),
+            ).otherwise(F.lit(0.0)).cast("float"),
         ).alias("ratios")
     )
 

@@ -264,6 +264,22 @@ def test_base_counts_by_hand(spark, data_dir):
         )
 
 
+def test_every_trusted_row_is_counted(spark):
+    """More trusted documents than any fixed number of them: both sides count whole."""
+    n, others, buckets = 20_500, 500, 1 << 10
+    docs = spark.range(n + others).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < n, "good").otherwise("bad").alias("text")
+    )
+    trusted = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    ratios = quality.log_ratios(docs, trusted.union(trusted), buckets).first().ratios
+    word, end = spark.range(1).select(quality.ngram_buckets(F.lit("good"), buckets)).first()[0]
+    assert word != end
+    share = lambda total: np.log((n + 1) / (2 * total + buckets))
+    for bucket in (word, end):
+        assert abs(ratios[bucket] - (share(n) - share(n + others))) < 1e-6
+    assert len(ratios) == buckets
+
+
 def test_languages_are_told_apart(spark, data_dir):
     docs = spark.read.parquet(f"{data_dir}/documents.parquet")
     got = language.identify_all(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
