@@ -34,7 +34,7 @@ KINDS = ("assign", "access", "hex", "guess")
 CONTEXT = re.compile(
     r"(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?"
     r"|bearer|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)"
-    r"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)["']?([!-~]{4,128})""",
+    r"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)["']?([!-~]{4,})""",
     re.IGNORECASE | re.ASCII,
 )
 TRAILING = "\"'`,;:.!?)]}>"
@@ -54,6 +54,8 @@ COMMON = (
 # Rows of a keyboard, walked in either direction.
 KEY_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 
+UNITS = (1, 2, 3, 4)  # lengths of what is repeated
+
 DATE = re.compile(
     r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])"
     r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d"
@@ -77,40 +79,71 @@ class GuessCost:
         size += 10 * any(c.isdigit() for c in value) + 33 * any(not c.isalnum() for c in value)
         return math.log10(max(size, 2))
 
-    def segments(self, value: str) -> tuple[float, list[tuple[str, int, int]]]:
-        """The least cost and its segments (kind, start, end)."""
-        lower, n = value.lower(), len(value)
-        ends: dict[int, list[tuple[int, float, str]]] = {}
-
-        def offer(kind: str, start: int, end: int, guesses: float) -> None:
-            ends.setdefault(end, []).append((start, math.log10(max(guesses, 1.0)), kind))
+    def segments(
+        self, value: str, enough: float = math.inf
+    ) -> tuple[float, list[tuple[str, int, int]]]:
+        """The least cost and its segments (kind, start, end); (enough, []) when it is no less.
+
+        Places that cost `enough` to reach are not followed, so a long value ends
+        soon. In a run (a walk or repeats) a start is passed over when an earlier
+        one reaches every end of the run for less.
+        """
+        lower, n, each = value.lower(), len(value), self.brute(value)
+        best: dict[int, tuple[float, int, str]] = {0: (0.0, 0, "")}
+        far, walk, walk_lead = 0, 0, (0, math.inf)
+        repeat, lead = dict.fromkeys(UNITS, 0), {}
+
+        def offer(kind: str, start: int, end: int, cost: float) -> bool:
+            nonlocal far
+            if cost >= enough:
+                return False
+            if end not in best or cost < best[end][0]:
+                best[end], far = (cost, start, kind), max(far, end)
+            return True
 
         for start in range(n):
+            if start > far:
+                break
+            if start not in best:
+                continue
+            here = best[start][0]
+            offer("brute", start, start + 1, here + each)
+            base = here + 0.3  # where segments meet costs a factor of two
             for end in range(start + 3, min(n, start + self.longest) + 1):
                 rank = self.ranks.get(lower[start:end])
                 if rank:
                     capital = 2 if lower[start:end] != value[start:end] else 1
-                    offer("word", start, end, rank * 10 * capital)
+                    offer("word", start, end, base + math.log10(rank * 10 * capital))
             date = DATE.match(value, start)
             if date:
-                offer("date", start, date.end(), 365.0 * 120 if date.end() - start > 4 else 120.0)
-            end = start + 1
-            while end < n and (lower[end - 1], lower[end]) in self.steps:
-                end += 1
-                if end - start >= 3:
-                    offer("walk", start, end, 40.0 * (end - start))
-            for unit in (1, 2, 3, 4):
-                part, times = value[start : start + unit], 1
-                while value.startswith(part, start + unit * times) and start + unit * times < n:
-                    times += 1
-                    offer("repeat", start, start + unit * times, times * 40.0**unit)
-        each = self.brute(value)
-        best: list[tuple[float, int, str]] = [(0.0, 0, "")]
-        for end in range(1, n + 1):
-            choices = [(best[end - 1][0] + each, end - 1, "brute")]
-            # Where segments meet costs a factor of two.
-            choices += [(best[s][0] + c + 0.3, s, kind) for s, c, kind in ends.get(end, ())]
-            best.append(min(choices))
+                guesses = 365.0 * 120 if date.end() - start > 4 else 120.0
+                offer("date", start, date.end(), base + math.log10(guesses))
+            if start >= walk:
+                walk, walk_lead = start + 1, (0, math.inf)
+                while walk < n and (lower[walk - 1], lower[walk]) in self.steps:
+                    walk += 1
+            if here < walk_lead[1] + math.log10((start - walk_lead[0] + 3) / 3):
+                walk_lead = (start, here)
+                for end in range(start + 3, walk + 1):
+                    if not offer("walk", start, end, base + math.log10(40.0 * (end - start))):
+                        break
+            for unit in UNITS:
+                if start > repeat[unit] - unit:
+                    end = start
+                    while end + unit < n and value[end] == value[end + unit]:
+                        end += 1
+                    repeat[unit] = end + unit
+                    for place in range(unit):
+                        lead[unit, place] = (0, math.inf)
+                at, cost = lead[unit, start % unit]
+                if here < cost + math.log10((start - at) / unit / 2 + 1):
+                    lead[unit, start % unit] = (start, here)
+                    for times in range(2, (repeat[unit] - start) // unit + 1):
+                        guesses = math.log10(times) + unit * math.log10(40.0)
+                        if not offer("repeat", start, start + unit * times, base + guesses):
+                            break
+        if n not in best:
+            return enough, []
         out, end = [], n
         while end:
             _, start, kind = best[end]
@@ -118,8 +151,8 @@ class GuessCost:
             end = start
         return best[n][0], out[::-1]
 
-    def __call__(self, value: str) -> float:
-        return self.segments(value)[0]
+    def __call__(self, value: str, enough: float = math.inf) -> float:
+        return self.segments(value, enough)[0]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -141,7 +174,7 @@ def guessed_spans(
     out = []
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip(TRAILING)
-        if len(value) >= 4 and cost(value) >= threshold:
+        if len(value) >= 4 and cost(value, threshold) >= threshold:
             out.append((m.start(1), m.start(1) + len(value), 3))
     return out
 

@@ -316,6 +316,20 @@ def test_spans_of_secrets():
     assert not secret_scan.guessed_spans("the password is required", cost)
 
 
+def test_long_values_are_covered_whole(spark):
+    rng = random.Random(7)
+    key = "".join(rng.choice("ABCDefghijkl0123456789+/") for _ in range(1600))
+    cost = secret_scan.GuessCost()
+    for word in ("private_key: ", "access_key=", "pwd: ", "auth: "):
+        assert secret_scan.guessed_spans(word + key, cost) == [(len(word), len(word) + 1600, 3)]
+    docs = spark.createDataFrame([(1, "pwd: " + key)], "doc_id long, text string")
+    assert secret_scan.find_secrets(docs).first().spans == "guess:5:1605"
+    # Very long runs are still cheap to guess; stopping early does not change a cost below it.
+    for value in ("a" * 100_000, "ab" * 50_000, "12" * 50_000 + "password"):
+        assert cost(value, 12) == cost(value) < 12
+    assert cost(key, 8) == 8 < cost(key)
+
+
 def test_pipeline_keeps_columns_and_packs(spark, data_dir):
     docs = spark.read.parquet(f"{data_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
