@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import named, texts
 
@@ -32,9 +33,10 @@ KINDS = ("assign", "access", "hex", "guess")
 
 # Words after which a value is looked at, beyond the assignments above.
 CONTEXT = re.compile(
-    r"(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?"
+    r"(?:(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?"
     r"|bearer|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)"
-    r"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)["']?([!-~]{4,})""",
+    r"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)["']?(?:(?:bearer|basic)\x20+["']?)?+"""
+    r"""|(?<![A-Za-z0-9_])(?:bearer|basic)\x20+["']?)([!-~]{4,})""",
     re.IGNORECASE | re.ASCII,
 )
 TRAILING = "\"'`,;:.!?)]}>"
@@ -48,9 +50,14 @@ COMMON = (
     "princess football shadow secret iloveyou trustno1 hello freedom whatever test user "
     "guest root default changeme example the and for that with this from have not are was "
     "you your value name none null true false string text token key pass word your_password "
-    "xxxx optional required here please enter forgotten new old reset"
+    "xxxx optional required here please enter forgotten new old reset bearer basic"
 ).split()
 
+# Words of the corpus that follow them: in at least so many documents outside of
+# credential context, so many of them at most (a task holds about 10 MB).
+LEAST_DOCS, MOST_WORDS = 5, 100_000
+ORDINARY = r"(?<![\p{L}\p{N}_])[a-z]{3,24}(?![\p{L}\p{N}_])"
+
 # Rows of a keyboard, walked in either direction.
 KEY_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 
@@ -171,14 +178,35 @@ def guessed_spans(
     text: str, cost: GuessCost, threshold: float = THRESHOLD
 ) -> list[tuple[int, int, int]]:
     """Values in credential context that are dear to guess."""
-    out = []
-    for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(TRAILING)
+    out, at = [], 0
+    while m := CONTEXT.search(text, at):
+        value, at = m[1].rstrip(TRAILING), m.start(1)
         if len(value) >= 4 and cost(value, threshold) >= threshold:
             out.append((m.start(1), m.start(1) + len(value), 3))
+            at = m.end(1)
     return out
 
 
+def ordinary_words(docs: DataFrame, least: int = LEAST_DOCS, most: int = MOST_WORDS) -> list[str]:
+    """Words in at least `least` documents, the most frequent first, `most` at most.
+
+    What stands after a credential word does not count: a leaked password is not
+    a word, however many copies it has.
+    """
+    bare = F.regexp_replace("text", f"(?i){CONTEXT.pattern}", " ")
+    found = F.array_distinct(F.regexp_extract_all(F.lower(bare), F.lit(ORDINARY), F.lit(0)))
+    rows = (
+        texts(docs).select(F.explode(found).alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= least)
+        .orderBy(F.desc("n"), "word")
+        .limit(most)
+        .collect()
+    )
+    return [r.word for r in rows]
+
+
 def written_out(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, end, kind in spans)
 
@@ -197,11 +225,15 @@ def find_secrets(
     Spans read kind:start:end in code points, by start, then kind (assign,
     access, hex, guess). A span of kind guess covers the value alone. A null or
     empty text has none; a null doc_id stays null; repeated rows return each
-    time; other columns are not looked at; an empty table gives none.
+    time; other columns are not looked at; an empty table gives none. Ordinary
+    words are those of `words`, then those of `docs` themselves.
     """
+    known = set(words)
+    ranks = [*words, *(w for w in ordinary_words(docs) if w not in known)]
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cost = GuessCost(words)
+        cost = GuessCost(shared.value)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.doc_id, batch.text):
