@@ -73,9 +73,12 @@ def rake(cells: DataFrame, temper=TEMPER, targets: dict[str, dict[str, float]] |
 
     `cells` has source, lang, topic, tokens. Languages and topics are few (their
     table reaches the driver); sources may be many. `targets` gives shares by
-    column and value in place of tempered ones, for lang and topic.
+    column and value in place of tempered ones, for source, lang and topic; a
+    value that a column's targets do not name has none.
     """
     targets = targets or {}
+    if unknown := set(targets) - set(temper):
+        raise ValueError(f"targets for unknown columns: {sorted(unknown)}")
     margin = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).collect()
     total = float(sum(r.tokens for r in margin))
     if not total:
@@ -85,16 +88,23 @@ def rake(cells: DataFrame, temper=TEMPER, targets: dict[str, dict[str, float]] |
         for c in ("lang", "topic")
     }
     goal = {c: shares({k: v for k, v in by[c].items() if v}, temper[c], targets.get(c)) for c in by}
-    rows = written(
+    rows = (
         cells.where("tokens > 0")
         .groupBy("source")
         .agg(
             F.collect_list(F.struct("lang", "topic", F.col("tokens").cast("double").alias("tokens"))).alias("cells"),
             F.pow(F.sum("tokens").cast("double"), F.lit(temper["source"])).alias("goal"),
-        ),
-        "sources",
+        )
     )
+    if targets.get("source"):
+        wanted = cells.sparkSession.createDataFrame(
+            [(k, float(v)) for k, v in targets["source"].items()], "source string, goal double"
+        )
+        rows = rows.drop("goal").join(wanted, "source", "left").na.fill(0.0, ["goal"])
+    rows = written(rows, "sources")
     goals = rows.agg(F.sum("goal")).first()[0]
+    if goals <= 0:
+        raise ValueError("the targets name no value that occurs")
     g, h = ({k: 1.0 for k in goal[c]} for c in ("lang", "topic"))
     for _ in range(SWEEPS):
         # Sources first: each row scales its own cells. The table of languages by

@@ -246,6 +246,28 @@ def test_raking_meets_its_targets(spark, data_dir):
     assert max(r.probability for r in rows) == 1.0
 
 
+def test_raking_meets_given_targets(spark):
+    rng = random.Random(8)
+    rows = [
+        (i, rng.choice("aaaab"), rng.choice(["en", "en", "de"]), "x " * rng.randint(5, 60) + rng.choice(["", "| y", "!! "]))
+        for i in range(600)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    targets = {
+        "source": {"a": 1, "b": 3, "absent": 0}, "lang": {"en": 0.4, "de": 0.6},
+        "topic": {"table": 0.2, "shouting": 0.3, "prose": 0.5},
+    }
+    got = mixing.mix(docs, targets=targets).collect()
+    whole = sum(r.n_tokens * r.probability for r in got)
+    for column, wanted in targets.items():
+        for value, share in wanted.items():
+            have = sum(r.n_tokens * r.probability for r in got if r[column] == value) / whole
+            assert abs(have - share / sum(wanted.values())) < 1e-4, (column, value)
+    for wrong in ({"sources": {"a": 1}}, {"source": {"absent": 1}}):
+        with pytest.raises(ValueError):
+            mixing.mix(docs, targets=wrong)
+
+
 def test_base_counts_by_hand(spark, data_dir):
     docs = spark.read.parquet(f"{data_dir}/documents.parquet")
     good = spark.read.parquet(f"{data_dir}/labels.parquet")
