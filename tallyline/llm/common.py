@@ -29,6 +29,22 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
+def row_key() -> Column:
+    """doc_id, or a negative hash of the text in rows without one.
+
+    Rows without an id are told apart by their texts, and come before real ids,
+    as NO_ID does.
+    """
+    own = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseOR(F.lit(NO_ID))
+    return F.coalesce(F.col("doc_id").cast("long"), F.greatest(own, F.lit(NO_ID + 1)))
+
+
+def chosen(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of `docs` whose row_key is among the doc_ids of `keys` (left_anti: is not)."""
+    ids = keys.select(F.col("doc_id").alias("__llm_id")).distinct()
+    return docs.withColumn("__llm_id", row_key()).join(ids, "__llm_id", how).select(*docs.columns)
+
+
 # Rows handed to Python at once: texts may be long.
 BATCH = 500
 

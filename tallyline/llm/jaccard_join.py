@@ -24,15 +24,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (
-    NO_ID,
     SKETCH,
     SeenTwice,
     WordHashes,
     Windows,
     among,
+    chosen,
     fold,
     named,
     partition_sketch,
+    row_key,
     written,
 )
 from .components import components
@@ -422,13 +423,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """Of every component the row with the smallest doc_id, with all its columns.
 
     Rows without shingles all stay. Cases as above; rows that share a doc_id
-    stay together.
+    stay together, rows without one are told apart by their texts.
     """
-    kept = (
-        near_duplicates(docs)
-        .where("component_id <=> doc_id")
-        .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__llm_id"))
-        .distinct()
+    return chosen(
+        docs,
+        near_duplicates(docs.withColumn("doc_id", row_key())).where("component_id = doc_id"),
     )
-    marked = docs.withColumn("__llm_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return marked.join(kept, "__llm_id", "left_semi").select(*docs.columns)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, WORD, written
+from .common import WORD, chosen, row_key, written
 
 NONE = "(none)"  # a missing source or language is a value of its own
 
@@ -192,12 +192,7 @@ def mix(
 def sample(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns; cases as above.
 
-    Rows that share a doc_id stay when any of them is kept.
+    Rows that share a doc_id stay when any of them is kept; rows without one
+    are drawn by their text.
     """
-    kept = (
-        mix(docs).where("kept")
-        .select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("__llm_id"))
-        .distinct()
-    )
-    marked = docs.withColumn("__llm_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return marked.join(kept, "__llm_id", "left_semi").select(*docs.columns)
+    return chosen(docs, mix(docs.withColumn("doc_id", row_key())).where("kept"))

@@ -378,6 +378,26 @@ def test_pipeline_keeps_columns_and_packs(spark, data_dir):
     assert packed.count() > 0 and over.count() == 0
 
 
+def test_rows_without_an_id_have_their_own_fate(spark, tmp_path):
+    rows = [(i, f"they said it was {'idiot' if i % 2 else 'fine'} word{i % 7}") for i in range(400)]
+    clean = [(None, f"they said it was fine word{i}") for i in range(5)]
+    docs = spark.createDataFrame([*rows, (None, "they are an idiot"), *clean], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    marks.write.parquet(f"{tmp_path}/labels.parquet")
+    left = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).where("doc_id IS NULL").collect()
+    assert sorted(r.text for r in left) == [t for _, t in clean]
+
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words), " ".join([*words[:59], "end"]), "a text of its own kind", "", ""]
+    docs = spark.createDataFrame([(None, t) for t in near], "doc_id long, text string")
+    left = Counter(r.text for r in jaccard_join.keep_one(docs).collect())
+    assert left[near[0]] + left[near[1]] == 1 and left[near[2]] == 1 and left[""] == 2
+
+    rows = [(None, "b" if i < 4 else "a", "en", f"word {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    assert 200 < mixing.sample(docs).count() < 400
+
+
 def test_among_drops_no_listed_row(spark):
     """Few bits let other rows through, many keep to the list; a listed row always stays."""
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
