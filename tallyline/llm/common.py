@@ -59,6 +59,12 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def arrow_batches(spark: SparkSession, rows: int = 10_000, size: str = "16m") -> None:
+    """Batches handed to Python end at so many rows or bytes, whichever comes first."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def named(df: DataFrame, *columns: str) -> DataFrame:
     """Turn NO_ID back into null in doc_id and the given columns."""
     return df.withColumns(
@@ -228,14 +234,16 @@ class SeenTwice:
 AMONG_BITS = 26
 
 
-def among(df: DataFrame, ids: DataFrame, bits: int = AMONG_BITS) -> DataFrame:
-    """Rows of `df` whose doc_id may be in `ids` (column doc_id), told before any shuffle.
+def among(
+    df: DataFrame, ids: DataFrame, bits: int = AMONG_BITS, key: str = "doc_id"
+) -> DataFrame:
+    """Rows of `df` whose `key` may be in `ids` (the same column), told before any shuffle.
 
-    Drops no row whose doc_id is there, and keeps few others while the ids are
+    Drops no row whose key is there, and keeps few others while the ids are
     fewer than the bits. The bitmap that is broadcast takes 2**bits / 8 bytes at
     most, whatever the number of ids.
     """
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)) + 1
+    cell = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1
     maps = (
         ids.select(cell.alias("cell")).distinct()
         .groupBy(F.bitmap_bucket_number("cell").alias("_bucket"))

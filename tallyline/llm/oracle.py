@@ -140,10 +140,123 @@ FROM q
     )
 
 
+# CRC-32 of '<doc_id>:<run>', byte by byte over a table of 256 remainders.
+SPELLING = rf"""
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i::BIGINT FROM generate_series(0, 255) AS s(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM steps WHERE k < 8
+),
+tab AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({FOLDED}, '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents
+),
+counted AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+spelled AS (
+  SELECT run, n, flatten(list_transform(
+    string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+                   ELSE [192 + (unicode(x) >> 6)::BIGINT, 128 + (unicode(x) % 64)::BIGINT] END)) AS b
+  FROM counted
+),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b),
+    lambda c, x: xor(c >> 8, t[xor(c % 256, x) + 1])), 4294967295) AS h
+  FROM spelled, tab
+),
+cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, n
+  FROM hashed
+),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+less AS MATERIALIZED (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM words, unnest(generate_series(1, length(word))) AS s(i)
+),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n FROM less a JOIN less b
+    ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS top
+  FROM near GROUP BY word
+),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.top >= 10 * w.n THEN b.other END AS form,
+         CASE WHEN b.top >= 10 * w.n THEN b.top END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+),
+follow(word, root, step) AS (
+  SELECT word, form, 1 FROM formed WHERE form IS NOT NULL
+  UNION ALL
+  SELECT f.word, g.form, step + 1 FROM follow f JOIN formed g ON g.word = f.root WHERE g.form IS NOT NULL
+)
+SELECT f.word, f.form, coalesce(r.root, f.word) AS root, f.n, f.n_near, f.form_n
+FROM formed f
+LEFT JOIN (SELECT word, arg_max(root, step) AS root FROM follow GROUP BY word) r USING (word)
+"""
+
+DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({FOLDED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+w AS MATERIALIZED (
+  SELECT lang, source, row, term, count(*) AS n
+  FROM (SELECT lang, source, row, unnest(terms) AS term FROM d) GROUP BY ALL
+),
+kept AS MATERIALIZED (SELECT lang, term FROM w GROUP BY ALL HAVING count(*) >= 10),
+groups AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, sum(n) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+every AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0)::HUGEINT AS n
+  FROM groups JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+),
+own AS MATERIALIZED (
+  SELECT lang, source, term, n,
+    1 + 1000000000::HUGEINT * (n + 2) //
+      (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM every
+),
+whole AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) //
+    (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM every GROUP BY ALL)
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM own a JOIN own b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+tops AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM own JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM tops)
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": EXACT,
         "op4_substring_dedup": SUBSTRING,
         "op5_raked_mixing": _mixing(),
         "op9_jaccard_join": JACCARD,
+        "op11_spelling_variants": SPELLING,
+        "op13_source_divergence": DIVERGENCE,
     }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    divergence,
     exact_dedup,
     jaccard_join,
     language,
@@ -15,7 +16,9 @@ from . import (
     quality,
     secret_scan,
     sharding,
+    spelling,
     substring_dedup,
+    token_counts,
     toxicity,
 )
 from .common import documents, labels
@@ -63,6 +66,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         fn.__name__: fn
@@ -70,5 +85,6 @@ def all_queries() -> dict[str, Query]:
             op1_best_fit_packing, op2_minimax_sharding, op3_exact_dedup, op4_substring_dedup,
             op5_raked_mixing, op6_language_mixture, op7_quality_ratio,
             op8_counterfactual_toxicity, op9_jaccard_join, op10_secret_scan,
+            op11_spelling_variants, op12_token_counts, op13_source_divergence,
         )
     }
