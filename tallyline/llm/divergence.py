@@ -1,7 +1,7 @@
 """How the sources of a language differ in the terms they use.
 
-Terms are counted under digests of 64 bits: a task writes its counts with the term
-beside them, and what is shuffled and aggregated are digests and numbers. Terms are
+Terms are counted under digests of 64 bits: a task writes its counts, and each term
+once, and what is shuffled and aggregated are digests and numbers. Terms are
 read again for digests that are frequent enough only, as the smallest and largest term
 of each: where these differ, several terms share the digest, and its counts are split
 by term. The terms of the result are joined back at the end.
@@ -12,11 +12,13 @@ than nine thousand million million occurrences of kept terms.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from .common import among, arrow_batches, written
 
 LEAST_DOCUMENTS, TOP = 10, 10
 BITS = 64  # of a digest
-GATHERED = 300_000  # terms a task counts before it hands them on
+GATHERED = 2_000_000  # distinct terms of rows a task gathers before it hands them on
 BLOCK = 64  # sources compared at once
 SALTS = 16  # slices of a source's or language's rows in joins with small tables
 
@@ -44,49 +46,70 @@ def _filled(name: str) -> Column:
 # --- counts ---------------------------------------------------------------------
 
 
-def task_counts(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """lang, source, digest, term, n, docs: occurrences and documents, from each task."""
+class Gathered:
+    """Occurrences of terms in the groups of some rows, as numbers of groups and terms."""
+
+    def __init__(self):
+        self.groups = defaultdict(count().__next__)
+        self.terms = defaultdict(count().__next__)
+        self.size = 0
+        self._rows = []  # group, number, times of each row's distinct terms
+
+    def add(self, lang: str, source: str, text: str) -> None:
+        found = text.encode().translate(TERM_BYTES).split()
+        numbers = np.fromiter(map(self.terms.__getitem__, found), np.int64, len(found))
+        number, times = np.unique(numbers, return_counts=True)
+        self._rows.append((self.groups[lang, source], number, times))
+        self.size += len(number)
+
+    def batch(self, bits: int, spelled: bool) -> pa.RecordBatch:
+        """One line for each group and term; a term stands in its first line, or in all."""
+        group = np.repeat([g for g, _, _ in self._rows], [len(n) for _, n, _ in self._rows])
+        number = np.concatenate([n for _, n, _ in self._rows])
+        times = np.concatenate([t for _, _, t in self._rows])
+        key = group.astype(np.int64) << 32 | number
+        order = np.argsort(key, kind="stable")
+        key, starts, held = np.unique(key[order], return_index=True, return_counts=True)
+        number = key & 0xFFFFFFFF
+        digests = np.fromiter(map(xxhash.xxh3_64_intdigest, self.terms), np.uint64, len(self.terms))
+        digests = (digests >> np.uint64(64 - bits)).view(np.int64)
+        without = np.full(len(number), not spelled)
+        without[np.unique(number, return_index=True)[1]] = False
+        terms = pa.array(list(self.terms), pa.binary()).cast(pa.string())
+        langs, sources = (pa.array(list(names), pa.string()) for names in zip(*self.groups))
+        return pa.RecordBatch.from_arrays(
+            [
+                langs.take(pa.array(key >> 32)), sources.take(pa.array(key >> 32)),
+                pa.array(digests[number]),
+                terms.take(pa.array(number, mask=without)),
+                pa.array(np.add.reduceat(times[order], starts)), pa.array(held),
+            ],
+            names=["lang", "source", "digest", "term", "n", "docs"],
+        )
+
+
+def task_counts(docs: DataFrame, bits: int = BITS, spelled: bool = False) -> DataFrame:
+    """lang, source, digest, term, n, docs: occurrences and documents, from each task.
+
+    A task writes a term out in one line and its digest alone in the others, unless
+    terms are wanted `spelled` in each.
+    """
     arrow_batches(docs.sparkSession)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        occurrences, documents = defaultdict(Counter), defaultdict(Counter)
-
-        def flush() -> Iterator[pd.DataFrame]:
-            for (lang, source), counted in occurrences.items():
-                held = documents[lang, source]
-                terms = list(counted)
-                if not terms:
-                    continue
-                digests = [xxhash.xxh3_64_intdigest(t) >> (64 - bits) for t in terms]
-                yield pd.DataFrame(
-                    {
-                        "lang": lang, "source": source,
-                        "digest": np.array(digests, np.uint64).view(np.int64),
-                        "term": [t.decode() for t in terms],
-                        "n": list(counted.values()), "docs": [held[t] for t in terms],
-                    }
-                )
-            occurrences.clear()
-            documents.clear()
-
-        gathered = 0
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Gathered()
         for batch in batches:
-            for lang, source, text in zip(batch.lang, batch.source, batch.text):
-                terms = text.encode().translate(TERM_BYTES).split()
-                distinct = set(terms)
-                own = occurrences[lang, source]
-                before = len(own)
-                own.update(terms)
-                documents[lang, source].update(distinct)
-                gathered += len(own) - before
-                if gathered >= GATHERED:
-                    yield from flush()
-                    gathered = 0
-        yield from flush()
+            for lang, source, text in zip(*[c.to_pylist() for c in batch.columns]):
+                held.add(lang, source, text)
+                if held.size >= GATHERED:
+                    yield held.batch(bits, spelled)
+                    held = Gathered()
+        if held.size:
+            yield held.batch(bits, spelled)
 
     rows = docs.select(_filled("lang"), _filled("source"), _filled("text"))
-    return rows.mapInPandas(
-        count, "lang string, source string, digest long, term string, n long, docs long"
+    return rows.mapInArrow(
+        gather, "lang string, source string, digest long, term string, n long, docs long"
     )
 
 
@@ -110,7 +133,7 @@ def term_counts(
         "frequent_digests",
     )
     terms = written(
-        among(tasks.select("digest", "term"), frequent, key="digest")
+        among(tasks.select("digest", "term").where("term IS NOT NULL"), frequent, key="digest")
         .groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
         .join(frequent, "digest", "left_semi"),
         "digest_terms",
@@ -121,8 +144,10 @@ def term_counts(
         "lang", "source", "digest", F.lit("").alias("exact"), "n", "docs"
     )
     if not several.isEmpty():
+        # So rare with 64 bits that the texts are read again for it.
         split = (
-            among(tasks, several, key="digest").join(several, "digest", "left_semi")
+            among(task_counts(docs, bits, spelled=True), several, key="digest")
+            .join(several, "digest", "left_semi")
             .groupBy("lang", "source", "digest", F.col("term").alias("exact"))
             .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
         )
