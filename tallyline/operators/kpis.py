@@ -190,3 +190,52 @@ def score_anomalies(
             (F.col("baseline") / 1e6).alias("baseline"),
         )
     )
+
+
+def score_baselines(
+    signals: DataFrame, hours: int = 24, sigmas: float = 1.0, time: str = "inference_time"
+) -> DataFrame:
+    """Each hour's number of signals and mean score against the `hours` before it.
+
+    The clock decides what lies before: hours without signals count as hours with
+    zero signals, and the mean score is that of the signals, not of the hours. One row
+    for each hour from a model's first to its last; the first `hours` of them have no
+    baseline. The window sees one row per model and hour.
+    """
+    millionths = F.sum(F.col("fraud_score").cast("decimal(18,6)") * 1_000_000).cast("bigint")
+    seen = signals.groupBy("model_version", F.date_trunc("hour", time).alias("hour")).agg(
+        F.count("fraud_score").alias("signals"), F.coalesce(millionths, F.lit(0)).alias("total")
+    ).where(F.col("hour").isNotNull())
+    # The hours in between: as many as the clock has, whatever the number of signals.
+    following = F.lead("hour").over(Window.partitionBy("model_version").orderBy("hour"))
+    step = F.expr("INTERVAL 1 HOUR")
+    filled = seen.withColumn("_next", following).withColumn(
+        "_at", F.explode(F.sequence("hour", F.coalesce(F.col("_next") - step, F.col("hour")), step))
+    )
+    real = F.col("_at") == F.col("hour")
+    # Hours numbered from an arbitrary one, so that the frame is a range of hours.
+    number = F.timestamp_diff("HOUR", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("_at").cast("timestamp_ntz"))
+    grid = filled.select(
+        "model_version", F.col("_at").alias("hour"), number.alias("_hour"),
+        F.when(real, F.col("signals")).otherwise(0).alias("signals"),
+        F.when(real, F.col("total")).otherwise(0).alias("total"),
+    )
+    trailing = Window.partitionBy("model_version").orderBy("_hour").rangeBetween(-hours, -1)
+    first = F.min("_hour").over(Window.partitionBy("model_version"))
+    counts = F.col("signals")
+    full = F.col("_hour") - first >= hours
+    return (
+        grid.withColumn("_full", full)
+        .withColumn("_s", F.sum(counts).over(trailing))
+        .withColumn("_q", F.sum(counts * counts).over(trailing))
+        .withColumn("_t", F.sum("total").over(trailing))
+        .where("_full")
+        .withColumn("usual_signals", F.col("_s") / F.lit(float(hours)))
+        .withColumn("deviation", _deviation(F.lit(hours), F.col("_s"), F.col("_q")))
+        .select(
+            "model_version", "hour", "signals", "usual_signals",
+            (F.col("signals") > F.col("usual_signals") + sigmas * F.col("deviation")).alias("burst"),
+            (_ratio(F.col("total"), counts) / 1e6).alias("mean_score"),
+            (_ratio(F.col("_t"), F.col("_s")) / 1e6).alias("baseline"),
+        )
+    )

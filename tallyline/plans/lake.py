@@ -140,3 +140,16 @@ def registered(spark: SparkSession, sf_dir: str, table: str) -> str:
         catalog.repair(spark, name)
         _written[key] = name
     return _written[key]
+
+
+def stored(
+    spark: SparkSession, sf_dir: str, name: str, df: DataFrame, parts: list[str]
+) -> str:
+    """Name of a catalog table with its partitions loaded, written from `df` once."""
+    key = _key(spark, sf_dir, f"stored/{name}")
+    if key not in _written:
+        path = work_path(spark, name)
+        write_table(df, path, parts)
+        database = f"tallyline_{uuid.uuid4().hex[:12]}"
+        _written[key] = catalog.register_stored(spark, path, f"{database}.{name}", df.schema, parts)
+    return _written[key]

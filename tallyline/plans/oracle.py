@@ -506,6 +506,10 @@ QUERIES = {
         "time_bucket(INTERVAL 5 MINUTES, ts) - s * INTERVAL 5 MINUTES",
         ", (VALUES (0), (1)) AS v(s)", 10,
     ),
+    "ops_latency_tails": f"""
+        SELECT {_ts("date_trunc('hour', ts)")} AS window_start, count(*) AS "values",
+               true AS within_one_percent
+        FROM events GROUP BY ALL""",
     "ops_index_stream": f"""
         SELECT {_ts('w')} AS window_start, count(*) AS throughput,
                count(*) FILTER (event_type = 'error') AS errors
@@ -551,6 +555,29 @@ QUERIES = {
           USING (user_id)
         WHERE mon = strftime(event_time, '%Y-%m')
         GROUP BY ALL""",
+    "user_decline_runs": f"""
+        SELECT user_id, declines, coalesce(n, 0) AS longest_decline_run,
+               {_ts('b')} AS run_begin, {_ts('e')} AS run_end
+        FROM (SELECT user_id, count(*) FILTER (status = 'DECLINED') AS declines
+              FROM tx GROUP BY user_id)
+        LEFT JOIN (
+            SELECT user_id, n, b, e FROM (
+                SELECT user_id, count(*) AS n, min(event_time) AS b, max(event_time) AS e
+                FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+                                                   ORDER BY event_time, transaction_id)
+                        - row_number() OVER (PARTITION BY user_id, status = 'DECLINED'
+                                             ORDER BY event_time, transaction_id) AS island
+                      FROM tx)
+                WHERE status = 'DECLINED' GROUP BY user_id, island)
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, b) = 1) r
+          USING (user_id)""",
+    "user_typical_amounts": """
+        SELECT user_id, strftime(event_time, '%Y-%m') AS "month", count(*) AS transactions,
+               round(quantile_cont(CAST(CAST(amount * 100 AS BIGINT) AS DOUBLE), 0.5) / 100, 4)
+                   AS median_amount,
+               round(quantile_cont(CAST(CAST(amount * 100 AS BIGINT) AS DOUBLE), 0.95) / 100, 4)
+                   AS p95_amount
+        FROM tx GROUP BY ALL""",
     "user_spikes": f"""
         SELECT transaction_id, user_id, {_dbl('amount')} AS amount, mean_amount, deviation,
                round((CAST(amount AS DOUBLE) - mean_amount) / deviation, 6) AS z_score
@@ -605,6 +632,28 @@ QUERIES = {
               WINDOW w AS (PARTITION BY model_version ORDER BY h
                            ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
         WHERE n = 24 AND mean > s / n + 1.0 * sqrt(greatest(q / n - (s / n) * (s / n), 0.0))""",
+    "fraud_score_baselines": f"""
+        SELECT * FROM (WITH seen AS (
+            SELECT model_version, date_trunc('hour', inference_time) AS h, count(*) AS n,
+                   CAST(sum(CAST(fraud_score AS DECIMAL(18,6))) * 1000000 AS BIGINT) AS t
+            FROM sig GROUP BY ALL),
+        hours AS (
+            SELECT model_version, unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h
+            FROM seen GROUP BY model_version),
+        grid AS (
+            SELECT model_version, h, coalesce(n, 0) AS n, coalesce(t, 0) AS t,
+                   row_number() OVER (PARTITION BY model_version ORDER BY h) AS i
+            FROM hours LEFT JOIN seen USING (model_version, h)),
+        past AS (
+            SELECT *, CAST(sum(n) OVER w AS DOUBLE) AS s, CAST(sum(n * n) OVER w AS DOUBLE) AS q,
+                   CAST(sum(t) OVER w AS DOUBLE) AS st
+            FROM grid WINDOW w AS (PARTITION BY model_version ORDER BY h
+                                   ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
+        SELECT model_version, {_ts('h')} AS "hour", n AS signals, s / 24 AS usual_signals,
+               n > s / 24 + 1.0 * sqrt(greatest(q / 24 - (s / 24) * (s / 24), 0.0)) AS burst,
+               CASE WHEN n > 0 THEN CAST(t AS DOUBLE) / n / 1e6 END AS mean_score,
+               CASE WHEN s > 0 THEN st / s / 1e6 END AS baseline
+        FROM past WHERE i > 24)""",
     "q01_flatten_items": f"SELECT transaction_id, sku, price, quantity FROM item "
     f"WHERE {TX_PART} 'US'",
     "q02_item_color": f"SELECT transaction_id, sku, price, color AS color_used FROM item "
@@ -683,6 +732,19 @@ QUERIES = {
         FROM ntx WHERE {TX_PART} 'EU' AND promo_code IS NULL""",
     "partitions_metadata": "SELECT DISTINCT dt, region FROM ntx",
     "latest_partition": "SELECT region, max(dt) AS latest_dt FROM ntx GROUP BY region",
+    "latest_partition_missing_dt": """
+        SELECT region, max(CASE WHEN region <> 'APAC' AND CAST(transaction_id AS BIGINT) % 5 <> 0
+                                THEN dt END) AS latest_dt
+        FROM ntx GROUP BY region""",
+    "pruning_ledger": f"""
+        SELECT scan, count(DISTINCT dt || '/' || region) AS partitions, count(*) AS "rows",
+               true AS a_file_each, true AS read
+        FROM ntx, (VALUES ('full'), ('pruned')) AS v(scan)
+        WHERE scan = 'full' OR ({TX_PART} 'EU') GROUP BY scan""",
+    "pruning_by_partition": f"""
+        SELECT scan, dt, region, count(*) AS "rows"
+        FROM ntx, (VALUES ('full'), ('pruned')) AS v(scan)
+        WHERE scan = 'full' OR ({TX_PART} 'EU') GROUP BY ALL""",
     "prune_two_columns": f"SELECT transaction_id, user_id FROM ntx WHERE {TX_PART} 'APAC'",
     "prune_vs_full": f"""
         SELECT transaction_id, 'full' AS scan FROM ntx WHERE payment_method = 'CARD'

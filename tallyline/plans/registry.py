@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas, staging
-from ..operators import compliance, enrichment, kpis, matching, nesting, quality, reports
+from ..operators import (
+    compliance,
+    enrichment,
+    kpis,
+    matching,
+    nesting,
+    quality,
+    quantiles,
+    reports,
+    runs,
+)
 from ..operators.final_index import merge_indexes
 from ..operators.latest import latest_per_key
 from ..operators.skew import attach, skew_join
@@ -784,6 +794,20 @@ def _(spark, d):
     )
 
 
+@query("ops_latency_tails")
+def _(spark, d):
+    """Hourly tails from 5-minute sketches, with the largest error of their ranks."""
+    events, latency = _ops_events(spark, d), F.col("latency")
+    sketches = lake.landed(
+        spark, d, "latency_sketches",
+        lambda: quantiles.window_sketches(events, "event_time", latency),
+    )
+    hourly = quantiles.tails(quantiles.roll_up(sketches))
+    errors = quantiles.rank_errors(events, "event_time", latency, hourly)
+    close = F.greatest(*[F.col(f"{name}_error") for name in quantiles.TAILS]) < 0.01
+    return errors.select("window_start", "values", close.alias("within_one_percent"))
+
+
 @query("ops_index_stream")
 def _(spark, d):
     """Windows closed by the watermark: all that end an hour before the last event."""
@@ -828,6 +852,16 @@ def _(spark, d):
     return kpis.user_months(lake.transactions(spark, d))
 
 
+@query("user_decline_runs")
+def _(spark, d):
+    return runs.decline_runs(lake.transactions(spark, d))
+
+
+@query("user_typical_amounts")
+def _(spark, d):
+    return quantiles.typical_amounts(lake.transactions(spark, d))
+
+
 @query("user_spikes")
 def _(spark, d):
     return kpis.user_spikes(lake.transactions(spark, d))
@@ -884,6 +918,11 @@ def _(spark, d):
     return kpis.score_anomalies(staging.fraud_signals(spark, d))
 
 
+@query("fraud_score_baselines")
+def _(spark, d):
+    return kpis.score_baselines(staging.fraud_signals(spark, d))
+
+
 # --- catalogue of nested queries ------------------------------------------------
 
 
@@ -942,6 +981,36 @@ def _(spark, d):
     return catalog.latest_partition(spark, lake.registered(spark, d, "transactions"))
 
 
+@query("latest_partition_missing_dt")
+def _(spark, d):
+    """Newest dt where some rows, and one region entirely, have none."""
+    orders = lake.nested(spark, d, "transactions").select("transaction_id", "dt", "region")
+    undated = (F.col("region") == "APAC") | (F.col("transaction_id").cast("long") % 5 == 0)
+    loaded = orders.withColumn("dt", F.when(~undated, F.col("dt")))
+    name = lake.stored(spark, d, "undated_orders", loaded, ["dt", "region"])
+    return catalog.latest_partition(spark, name)
+
+
+def _scans(spark, d) -> dict[str, DataFrame]:
+    orders = spark.table(lake.registered(spark, d, "transactions"))
+    return {"full": orders, "pruned": catalog.select_partition(orders, dt=TX_DT, region="EU")}
+
+
+@query("pruning_ledger")
+def _(spark, d):
+    """Partitions and rows read with and without the partition filter."""
+    ledger = catalog.scan_ledger(_scans(spark, d), ["dt", "region"])
+    return ledger.select(
+        "scan", "partitions", "rows", (F.col("files") >= F.col("partitions")).alias("a_file_each"),
+        (F.col("bytes") > 0).alias("read"),
+    )
+
+
+@query("pruning_by_partition")
+def _(spark, d):
+    return catalog.partition_ledger(_scans(spark, d), ["dt", "region"]).drop("files")
+
+
 @query("prune_two_columns")
 def _(spark, d):
     name = lake.registered(spark, d, "transactions")
