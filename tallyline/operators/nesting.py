@@ -16,3 +16,8 @@ def unnest(
     """
     array = F.arrays_zip(*[F.col(f"{column}.{f}") for f in fields]) if fields else F.col(column)
     return df.withColumn(alias, F.explode(array))
+
+
+def heads(orders: DataFrame) -> DataFrame:
+    """One row per order of a table that keeps very large orders in parts."""
+    return orders.where("part_no = 0")

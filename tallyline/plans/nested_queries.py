@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.nesting import unnest
+from ..operators.nesting import heads, unnest
 from ..operators.skew import number_rows, skew_join
 from ..sources.catalog import select_partition
 
@@ -53,7 +53,7 @@ def order_value_top5(transactions: DataFrame, dt: str, region: str) -> DataFrame
 
 def coords_first10(transactions: DataFrame, dt: str, region: str) -> DataFrame:
     return (
-        select_partition(transactions, dt=dt, region=region)
+        heads(select_partition(transactions, dt=dt, region=region))
         .select(
             "transaction_id",
             F.col("location_info.country").alias("country_code"),
@@ -70,14 +70,14 @@ def payments_by_method(
 ) -> DataFrame:
     payment = F.col("extra_info")["payment_method"]
     return (
-        select_partition(transactions, dt=dt, region=region)
+        heads(select_partition(transactions, dt=dt, region=region))
         .where(payment == method)
         .select("transaction_id", payment.alias("payment_method"))
     )
 
 
 def promo_codes(transactions: DataFrame, dt: str, region: str) -> DataFrame:
-    return select_partition(transactions, dt=dt, region=region).select(
+    return heads(select_partition(transactions, dt=dt, region=region)).select(
         "transaction_id", F.col("extra_info")["promo_code"].alias("promo_code")
     )
 
@@ -100,7 +100,7 @@ def distinct_colors(transactions: DataFrame, dt: str, region: str) -> DataFrame:
 def missing_promo(transactions: DataFrame, dt: str, region: str) -> DataFrame:
     promo = F.col("extra_info")["promo_code"]
     return (
-        select_partition(transactions, dt=dt, region=region)
+        heads(select_partition(transactions, dt=dt, region=region))
         .where(promo.isNull())
         .select("transaction_id", "extra_info", promo.alias("maybe_promo"))
     )
@@ -292,7 +292,7 @@ def signal_payments(
 ) -> DataFrame:
     joined = signals_with_transactions(
         select_partition(signals, dt=dt, environment=environment),
-        select_partition(transactions, dt=tx_dt, region=region).select(
+        heads(select_partition(transactions, dt=tx_dt, region=region)).select(
             "transaction_id", "extra_info"
         ),
     )
@@ -370,6 +370,6 @@ def all_coords(
     environment: str,
 ) -> DataFrame:
     return union_coords(
-        select_partition(transactions, dt=dt, region=region),
+        heads(select_partition(transactions, dt=dt, region=region)),
         select_partition(locations, dt=loc_dt, environment=environment),
     )

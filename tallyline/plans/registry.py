@@ -308,7 +308,7 @@ def _(spark, d):
 
 @query("filter_partition_eq")
 def _(spark, d):
-    tx = lake.nested(spark, d, "transactions")
+    tx = nesting.heads(lake.nested(spark, d, "transactions"))
     return catalog.select_partition(tx, dt=TX_DT, region="EU").select(
         "transaction_id", "user_id", "dt", "region"
     )
@@ -431,7 +431,7 @@ def _(spark, d):
 def _(spark, d):
     return nq.signals_with_transactions(
         lake.nested(spark, d, "fraud_signals"),
-        lake.nested(spark, d, "transactions").select("transaction_id", "user_id"),
+        nesting.heads(lake.nested(spark, d, "transactions")).select("transaction_id", "user_id"),
     )
 
 
@@ -534,7 +534,7 @@ def _(spark, d):
 @query("coords_first10")
 def _(spark, d):
     return (
-        lake.nested(spark, d, "transactions")
+        nesting.heads(lake.nested(spark, d, "transactions"))
         .select("transaction_id", "location_info.coords.lat", "location_info.coords.lon")
         .orderBy("transaction_id")
         .limit(10)
@@ -583,7 +583,7 @@ def _(spark, d):
 @query("union_coords")
 def _(spark, d):
     return nq.union_coords(
-        lake.nested(spark, d, "transactions"), lake.nested(spark, d, "locations")
+        nesting.heads(lake.nested(spark, d, "transactions")), lake.nested(spark, d, "locations")
     )
 
 
@@ -984,7 +984,7 @@ def _(spark, d):
 @query("latest_partition_missing_dt")
 def _(spark, d):
     """Newest dt where some rows, and one region entirely, have none."""
-    orders = lake.nested(spark, d, "transactions").select("transaction_id", "dt", "region")
+    orders = nesting.heads(lake.nested(spark, d, "transactions")).select("transaction_id", "dt", "region")
     undated = (F.col("region") == "APAC") | (F.col("transaction_id").cast("long") % 5 == 0)
     loaded = orders.withColumn("dt", F.when(~undated, F.col("dt")))
     name = lake.stored(spark, d, "undated_orders", loaded, ["dt", "region"])
@@ -1015,7 +1015,8 @@ def _(spark, d):
 def _(spark, d):
     name = lake.registered(spark, d, "transactions")
     return spark.sql(
-        f"SELECT transaction_id, user_id FROM {name} WHERE dt = '{TX_DT}' AND region = 'APAC'"
+        f"SELECT transaction_id, user_id FROM {name} "
+        f"WHERE dt = '{TX_DT}' AND region = 'APAC' AND part_no = 0"
     )
 
 
@@ -1023,7 +1024,8 @@ def _(spark, d):
 def _(spark, d):
     """One predicate without and with the partition filter."""
     name = lake.registered(spark, d, "transactions")
-    card = f"SELECT transaction_id, '{{}}' AS scan FROM {name} WHERE extra_info['payment_method'] = 'CARD'"
+    card = f"SELECT transaction_id, '{{}}' AS scan FROM {name} "
+    card += "WHERE part_no = 0 AND extra_info['payment_method'] = 'CARD'"
     return spark.sql(
         card.format("full")
         + " UNION ALL "
@@ -1054,9 +1056,9 @@ def _(spark, d):
 
 @query("join_on_partitions")
 def _(spark, d):
-    tx = catalog.select_partition(
+    tx = nesting.heads(catalog.select_partition(
         spark.table(lake.registered(spark, d, "transactions")), dt=TX_DT, region="US"
-    ).select("transaction_id", "merchant_id", "dt", "region")
+    )).select("transaction_id", "merchant_id", "dt", "region")
     sellers = spark.table(lake.registered(spark, d, "merchants")).select(
         "merchant_id", "name", "dt", "region"
     )

@@ -102,6 +102,8 @@ NESTED = {
         ("transaction_time", TS),
         ("location_info", _struct(("country", S), ("city", S), ("coords", COORDS))),
         ("extra_info", STRING_MAP),
+        # 0 in one row of each order; others hold more items of a very large one.
+        ("part_no", T.IntegerType()),
         ("dt", S),
         ("region", S),
     ),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .operators.skew import hot_keys, number_rows, skew_join
 from .schemas import MONEY
+from .session import work_path
+from .sources.sinks import write_table
 from .sources.tables import test_table
 
 # Fixed values of the fixture.
@@ -187,7 +189,67 @@ def _coords(key: Column) -> Column:
     )
 
 
-def nested_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+ITEMS_PER_PART = 10_000
+
+
+def _item_parts(lines: DataFrame, part_items: int) -> DataFrame:
+    """o_orderkey, part_no, suppkey, items: no array longer than `part_items`.
+
+    An order of up to so many lines is part 0. Of a larger one part 0 is empty, and its
+    lines are dealt over parts 1, 2, ... by number, so no task sees all of them.
+    """
+    key = F.col("l_orderkey").alias("o_orderkey")
+    path = work_path(lines.sparkSession, "large_orders")
+    # Counted in the tasks that read the lines; at most a row for each `part_items` lines.
+    write_table(
+        lines.groupBy(key).agg(F.count("*").alias("_lines"), F.min("l_suppkey").alias("_suppkey"))
+        .where(F.col("_lines") > part_items),
+        path,
+    )
+    large = lines.sparkSession.read.parquet(path)
+    grouped = [F.min("l_suppkey").alias("suppkey"), F.collect_list("item").alias("items")]
+    if large.isEmpty():
+        return lines.groupBy(key).agg(*grouped).withColumn("part_no", F.lit(0))
+
+    # Half full on average: a slice is hardly ever too large, and is cut if it is.
+    slices = F.ceil(F.lit(2) * F.col("_lines") / part_items)
+    number = F.xxhash64(F.monotonically_increasing_id())
+    dealt = (
+        lines.withColumnRenamed("l_orderkey", "o_orderkey").withColumn("_number", number)
+        .join(large, "o_orderkey", "left")
+        .withColumn("_slices", slices)
+        .withColumn("_slice", F.when(F.col("_lines").isNotNull(), 1 + F.pmod("_number", "_slices")).otherwise(0))
+    )
+    sliced = dealt.groupBy("o_orderkey", "_slice").agg(
+        F.coalesce(F.max("_suppkey"), F.min("l_suppkey")).alias("suppkey"),
+        F.max("_slices").alias("_slices"), F.collect_list("item").alias("_all"),
+    )
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.expr(f"int((size(_all) - 1) div {part_items})")),
+        lambda i: F.slice(F.col("_all"), i * part_items + 1, F.lit(part_items)),
+    )
+    parts = sliced.select(
+        "o_orderkey", "suppkey", "_slice", "_slices", F.posexplode(pieces).alias("_piece", "items")
+    ).select(
+        "o_orderkey", "suppkey", "items",
+        (F.col("_slice") + F.coalesce("_slices", F.lit(0)) * F.col("_piece")).cast("int").alias("part_no"),
+    )
+    empty = F.array().cast(parts.schema["items"].dataType)
+    heads = large.select(
+        "o_orderkey", F.col("_suppkey").alias("suppkey"), empty.alias("items"), F.lit(0).alias("part_no")
+    )
+    return parts.unionByName(heads)
+
+
+def nested_transactions(
+    spark: SparkSession, sf_dir: str, part_items: int = ITEMS_PER_PART
+) -> DataFrame:
+    """Orders with their items, in parts of at most `part_items`.
+
+    Every order has one row with part_no 0; only orders with more items have others,
+    with the same ids and times. Readers of items put parts together by transaction_id,
+    readers of anything else take part 0 (`heads`).
+    """
     lines = test_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
     )
@@ -195,21 +257,13 @@ def nested_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber") != 1,
         F.create_map(F.lit("size"), F.lit("M"), F.lit("color"), pick(COLORS, F.col("l_partkey"))),
     ).otherwise(F.create_map(F.lit("size"), F.lit("M")))
-    # One row per order, as the schema has it: an array is as long as its order.
-    items = (
-        lines.groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(
-            F.min("l_suppkey").alias("suppkey"),
-            F.collect_list(
-                F.struct(
-                    F.col("l_partkey").cast("string").alias("sku"),
-                    F.col("l_extendedprice").alias("price"),
-                    F.col("l_quantity").cast("int").alias("quantity"),
-                    attributes.alias("attributes"),
-                )
-            ).alias("items"),
-        )
+    item = F.struct(
+        F.col("l_partkey").cast("string").alias("sku"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        attributes.alias("attributes"),
     )
+    items = _item_parts(lines.select("l_orderkey", "l_suppkey", item.alias("item")), part_items)
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     region = pick(REGIONS, cust)
     extra = F.create_map(
@@ -231,6 +285,7 @@ def nested_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             _coords(cust).alias("coords"),
         ).alias("location_info"),
         F.when(key % 4 == 0, F.map_concat(extra, promo)).otherwise(extra).alias("extra_info"),
+        F.coalesce("part_no", F.lit(0)).alias("part_no"),
         _year_start(F.col("o_orderdate")).alias("dt"),
         region.alias("region"),
     )

@@ -9,7 +9,9 @@ import pytest
 from conftest import bag, formatted_plan
 from pyspark.sql import functions as F
 
-from tallyline.operators import kpis, quantiles, runs
+from tallyline import staging
+from tallyline.operators import kpis, nesting, quantiles, runs
+from tallyline.plans import nested_queries as nq
 from tallyline.session import work_path
 from tallyline.sources import catalog
 
@@ -207,3 +209,55 @@ def test_ledger_counts_what_scans_read(spark, stored):
     assert rows["pruned"].bytes < rows["full"].bytes
     parts = catalog.partition_ledger(scans, ["dt", "region"]).where("scan = 'full'").collect()
     assert {(r.dt, r.region): (r.files, r.rows) for r in parts}[None, "a b"] == (1, 3)
+
+
+# --- orders in parts ------------------------------------------------------------
+
+
+def _flat(spark, path, lines=900):
+    """An order with a third of the lines, others of up to seven, one without any."""
+    spark.range(lines).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1L ELSE 2 + id % 200 END AS l_orderkey",
+        "id % 50 AS l_partkey", "100 - id % 40 AS l_suppkey", "CAST(1 + id % 7 AS INT) AS l_linenumber",
+        "CAST(1 + id % 5 AS DOUBLE) AS l_quantity", "CAST(id % 90 AS DOUBLE) + 0.5D AS l_extendedprice",
+    ).write.parquet(f"{path}/lineitem.parquet")
+    spark.sql(
+        "SELECT id + 1 AS o_orderkey, id % 9 AS o_custkey, "
+        "timestamp_ntz '1996-05-05 00:00:00' AS o_orderdate FROM range(202)"
+    ).write.parquet(f"{path}/orders.parquet")
+
+
+@pytest.fixture(scope="module")
+def orders_in_parts(spark):
+    path = work_path(spark, "flat")
+    _flat(spark, path)
+    return {n: staging.nested_transactions(spark, path, n).cache() for n in (2, 100, 1000)}
+
+
+@pytest.mark.parametrize("size", [2, 100, 1000])
+def test_no_array_is_longer_than_a_part(orders_in_parts, size):
+    rows = orders_in_parts[size].select("transaction_id", "part_no", F.size("items").alias("n")).collect()
+    assert max(r.n or 0 for r in rows) <= size
+    assert Counter(r.transaction_id for r in rows if r.part_no == 0) == Counter(str(i + 1) for i in range(202))
+    assert len({(r.transaction_id, r.part_no) for r in rows}) == len(rows)
+    assert sum(r.n or 0 for r in rows) == 900
+
+
+def test_answers_do_not_depend_on_the_parts(spark, orders_in_parts):
+    signals = spark.createDataFrame(
+        [(f"s{i}", str(1 + i % 9), "HIGH", "d", "e") for i in range(20)],
+        "signal_id string, transaction_id string, risk_level string, dt string, environment string",
+    )
+    where = ("1996-01-01", "US")
+    queries = [
+        lambda t: nq.flatten_items(t, *where), lambda t: nq.item_color(t, *where),
+        lambda t: nq.order_value_top5(t, *where), lambda t: nq.coords_first10(t, *where),
+        lambda t: nq.payments_by_method(t, *where, "PAYPAL"), lambda t: nq.promo_codes(t, *where),
+        lambda t: nq.distinct_colors(t, *where), lambda t: nq.missing_promo(t, *where),
+        lambda t: nq.signal_payments(signals, t, "d", "e", *where),
+        lambda t: nq.fraud_value(signals, t, "d", "e"),
+        lambda t: nesting.heads(t).select("transaction_id", "merchant_id"),
+    ]
+    for number, run in enumerate(queries):
+        answers = [bag(run(t)) for t in orders_in_parts.values()]
+        assert answers[0] == answers[1] == answers[2] and answers[0], number
