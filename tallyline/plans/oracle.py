@@ -442,6 +442,15 @@ QUERIES = {
                CASE WHEN k % 3 <> 0 AND k % 7 <> 0 THEN 'stream' END AS reason_code,
                CASE WHEN NOT (k % 3 <> 0 AND k % 7 <> 0) THEN 'batch' END AS policy_name
         FROM tx""",
+    "merge_indexes_incremental": f"""
+        SELECT transaction_id, user_id, merchant_id,
+               CASE WHEN k % 7 <> 0 AND k % 3 = 1
+                    THEN strftime(event_time + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')
+                    ELSE strftime(event_time, '%Y-%m-%d %H:%M:%S') END AS "timestamp",
+               {_dbl('amount')} AS amount, currency, status,
+               CASE WHEN k % 3 <> 0 AND k % 7 <> 0 THEN 'stream' END AS reason_code,
+               CASE WHEN NOT (k % 3 <> 0 AND k % 7 <> 0) THEN 'batch' END AS policy_name
+        FROM tx""",
     "union_coords": "SELECT lat, lon, 'transactions' AS source FROM ntx "
     "UNION ALL SELECT lat, lon, 'locations' FROM nloc",
     "label_fraud_score": "SELECT risk_level, count(*) AS signals FROM nsig GROUP BY risk_level",
@@ -494,6 +503,10 @@ QUERIES = {
                {_dbl('amount')} AS amount, currency, status, policy_id,
                strftime(event_time, '%Y-%m-%d %H:%M:%S') AS "timestamp"
         FROM sig LEFT JOIN tx ON tx.transaction_id = sig.transaction_id""",
+    "stream_enrich_changing": f"""
+        SELECT sig.transaction_id, fraud_signal_id, fraud_score, {_dbl('amount')} AS amount, status
+        FROM sig LEFT JOIN tx ON tx.transaction_id = sig.transaction_id
+                             AND (ek % 2 = 1 OR k % 3 <> 0)""",
     "stream_checkpoint": f"SELECT transaction_id, {_dbl('amount')} AS amount, status FROM tx",
     "stream_append_mode": "SELECT transaction_id, 2 * count(*) AS arrivals FROM tx GROUP BY 1",
     "stream_triggers": "SELECT transaction_id, status FROM tx",

@@ -20,6 +20,7 @@ from ..operators import (
     quantiles,
     reports,
     runs,
+    versioned_index,
 )
 from ..operators.final_index import merge_indexes
 from ..operators.latest import latest_per_key
@@ -557,8 +558,8 @@ def _(spark, d):
     )
 
 
-@query("merge_indexes")
-def _(spark, d):
+def _stream_and_batch(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Two indexes of the transactions, which do not agree in times and columns."""
     tx = lake.transactions(spark, d)
     timed = tx.withColumn("timestamp", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
     base = timed.select(
@@ -576,8 +577,23 @@ def _(spark, d):
         .withColumn("timestamp", F.when(key % 7 == 0, "unknown").otherwise(F.col("timestamp")))
         .select(*base.columns, F.lit("stream").alias("reason_code"))
     )
-    enriched = base.withColumn("policy_name", F.lit("batch"))
-    return merge_indexes(seen, enriched)
+    return seen, base.withColumn("policy_name", F.lit("batch"))
+
+
+@query("merge_indexes")
+def _(spark, d):
+    return merge_indexes(*_stream_and_batch(spark, d))
+
+
+@query("merge_indexes_incremental")
+def _(spark, d):
+    """The same in three merges into an index kept in buckets."""
+    seen, enriched = _stream_and_batch(spark, d)
+    odd = F.col("transaction_id").cast("bigint") % 2 == 1
+    base, newest = work_path(spark, "index"), [F.try_to_timestamp("timestamp")]
+    for rows in (seen.where(odd), enriched, seen.where(~odd)):
+        versioned_index.merge_increment(rows, base, newest)
+    return versioned_index.read_index(spark, base)
 
 
 @query("union_coords")
@@ -686,6 +702,31 @@ def _(spark, d):
     return stream.drain(joined, work_path(spark, "out"), work_path(spark, "ckpt"))
 
 
+@query("stream_enrich_changing")
+def _(spark, d):
+    """Transactions merged into the index between two batches are found by the second."""
+    tx = lake.transactions(spark, d).select("transaction_id", "amount", "status")
+    key, base = F.col("transaction_id").cast("bigint"), work_path(spark, "index")
+    even = F.col("fraud_signal_id").cast("bigint") % 2 == 0
+    sent = staging.fraud_signals(spark, d).select("fraud_signal_id", "transaction_id", "fraud_score")
+    topic, out, ckpt = (work_path(spark, n) for n in ("topic", "out", "ckpt"))
+
+    def lookup(keys: DataFrame) -> DataFrame:
+        return versioned_index.read_index(keys.sparkSession, base, keys)
+
+    for rows, signals_sent in ((tx.where(key % 3 != 0), sent.where(even)), (tx, sent.where(~even))):
+        versioned_index.merge_increment(rows, base, [])
+        sinks.publish_json(signals_sent, directory=topic)
+        arriving = topics.parse_messages(
+            topics.read_topic_files(spark, topic),
+            "fraud_signal_id string, transaction_id string, fraud_score double",
+        )
+        stream.enrich_batches(
+            arriving, lookup, out, ckpt, trigger={"availableNow": True}
+        ).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 @query("stream_checkpoint")
 def _(spark, d):
     """Two runs over one checkpoint: the second finds nothing new."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,3 +79,28 @@ def signal_index_job(
 ) -> StreamingQuery:
     """The running job over the fraud-signals topic, at the default trigger."""
     return start_index(enrich_stream(messages, transactions), path, checkpoint)
+
+
+def enrich_batches(
+    rows: DataFrame,
+    lookup: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    key: str = "transaction_id",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Left-join each batch to a table that changes while the stream runs.
+
+    `lookup` is called once a batch with the batch's keys and returns the rows of
+    those keys as they are then; nothing of the table is read at the start. A batch
+    writes its own folder, over what an earlier attempt of it may have left, so
+    each row is written once across restarts. Null keys find nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+        joined = batch.join(lookup(keys), key, "left")
+        joined.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
