@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +21,22 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, held_out, mix, named, texts
 
-LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _letters() -> re.Pattern:
+    """Runs of letters, as str.isalpha has them.
+
+    \\w also takes fractions, raised figures and numbers in circles, which are neither
+    letters nor decimal digits; they are left out by name.
+    """
+    signs = "".join(
+        c for c in map(chr, range(sys.maxunicode + 1))
+        if c.isalnum() and not c.isalpha() and not c.isdecimal()
+    )
+    return re.compile(rf"[^\W\d_{signs}]+")
+
+
+LETTERS = _letters()
 SIZES = (1, 2, 3)  # letters in an n-gram; the word's ends count as letters
 BITS = 16  # hash space of n-grams: a table row for each bucket
 SMOOTHING = 0.5  # added to every bucket's count
@@ -67,19 +83,26 @@ class Model:
 
 
 def training_rows(docs: DataFrame, each: int = DOCS_EACH) -> DataFrame:
-    """Text and language of at most `each` documents of a language, not held out."""
+    """Text and language of at most `each` documents of a language, not held out.
+
+    Of more than MOST_LANGS languages those with most documents are learned, of
+    equally frequent ones the first by name.
+    """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     rows = rows.where(~held_out()).select("doc_id", "text", "lang")
+    known = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    known = known.orderBy(F.desc("_n"), "lang").limit(MOST_LANGS).select("lang")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
-        rows.select("doc_id", "lang")
+        rows.select("doc_id", "lang").join(F.broadcast(known), "lang")
         .withColumn("_n", F.row_number().over(order))
         .where(F.col("_n") <= each)
         .select("doc_id", F.col("lang").alias("_lang"))
         .distinct()
     )
     return (
-        rows.join(F.broadcast(ids.limit(each * MOST_LANGS)), "doc_id")
+        # At most `each` ids of MOST_LANGS languages.
+        rows.join(F.broadcast(ids), "doc_id")
         .where("lang = _lang")
         .select("text", "lang")
     )
