@@ -148,22 +148,28 @@ def fit(
     return w, bias
 
 
-def training_rows(docs: DataFrame, marks: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """Text and label of at most `most` labelled documents, none held out.
+def usable_labels(marks: DataFrame) -> DataFrame:
+    """doc_id and toxic (0 or 1), once each: none held out, of clashing labels the toxic one."""
+    rows = marks.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
+    rows = rows.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+    return rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def training_rows(docs: DataFrame, labelled: DataFrame, most: int = SAMPLE) -> DataFrame:
+    """Text and label of at most `most` labelled documents.
 
     Half of them at most are toxic; which ones, the hash of doc_id decides.
     """
-    rows = marks.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
-    rows = rows.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = (
-        rows.where("toxic = 1").orderBy(*order).limit(most // 2)
-        .unionByName(rows.where("toxic = 0").orderBy(*order).limit(most - most // 2))
-        .dropDuplicates(["doc_id"])
+    ids = labelled.where("toxic = 1").orderBy(*order).limit(most // 2).unionByName(
+        labelled.where("toxic = 0").orderBy(*order).limit(most - most // 2)
     )
     return texts(docs).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
 
 
+NOTHING = Model(np.empty(0, np.int64), np.empty(0), -10.0)  # calls every text clean
+
+
 def train(
     docs: DataFrame, marks: DataFrame, terms: list[str] = IDENTITY, most: int = SAMPLE,
     size: int = FEATURES,
@@ -171,9 +177,18 @@ def train(
     """Choose the features that tell most, then fit them.
 
     Bounds: `most` documents are looked at, `size` features are collected, and of
-    a document only the chosen features reach the driver.
+    a document only the chosen features reach the driver. The bound cuts clean and
+    toxic documents differently; scores are moved back by the two shares taken, so
+    they do not depend on it. Labels of one class, or too few for any feature, teach
+    nothing: every text is then called clean.
     """
-    sample = written(training_rows(docs, marks, most), "labelled")
+    labelled = usable_labels(marks)
+    classes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(classes) < 2:
+        return NOTHING
+    taken_toxic = min(1.0, (most // 2) / classes[1])
+    taken_clean = min(1.0, (most - most // 2) / classes[0])
+    sample = written(training_rows(docs, labelled, most), "labelled")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, bad = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
@@ -208,8 +223,8 @@ def train(
             yield pd.DataFrame(out, columns=["toxic", "a", "b"]).astype({"toxic": "Int32"})
 
     total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
-    if not total.n:
-        return Model(np.empty(0, np.int64), np.empty(0), -10.0)
+    if not 0 < total.bad < total.n:
+        return NOTHING
     counts = (
         sample.mapInPandas(count, "cell long, n long, bad long")
         .groupBy("cell")
@@ -228,14 +243,16 @@ def train(
     )
     best = counts.select("cell", gain.alias("gain")).orderBy(F.desc("gain"), "cell").limit(size)
     # Identity terms are always among the features, or nothing could hold them down.
-    own = set().union(*(cells(t) for t in terms))
-    chosen = np.array(sorted(own | {r.cell for r in best.collect()}), np.int64)
+    own, told = set().union(*(cells(t) for t in terms)), {r.cell for r in best.collect()}
+    if not told:
+        return NOTHING
+    chosen = np.array(sorted(own | told), np.int64)
     rows = sample.mapInPandas(lend, "toxic int, a array<int>, b array<int>").collect()
     singles = [np.array(r.a, np.int64) for r in rows if r.toxic is not None]
     marks_ = np.array([r.toxic for r in rows if r.toxic is not None], float)
     pairs = [(np.array(r.a, np.int64), np.array(r.b, np.int64)) for r in rows if r.toxic is None]
     weights, bias = fit(singles, marks_, pairs, len(chosen))
-    return Model(chosen, weights, bias)
+    return Model(chosen, weights, bias + float(np.log(taken_clean / taken_toxic)))
 
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -246,7 +263,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     A null or empty text has the score of a text without known words. A null
     doc_id stays null; repeated rows return each time; columns other than doc_id
-    and text are not looked at. Without labels every score is near 0.
+    and text are not looked at. Without labels of both classes every score is near 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.chosen, model.weights, model.bias))
 
