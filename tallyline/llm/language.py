@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,22 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, held_out, mix, named, texts
 
-
-
-def _letters() -> re.Pattern:
-    """Runs of letters, as str.isalpha has them.
-
-    \\w also takes fractions, raised figures and numbers in circles, which are neither
-    letters nor decimal digits; they are left out by name.
-    """
-    signs = "".join(
-        c for c in map(chr, range(sys.maxunicode + 1))
-        if c.isalnum() and not c.isalpha() and not c.isdecimal()
-    )
-    return re.compile(rf"[^\W\d_{signs}]+")
-
-
-LETTERS = _letters()
+WORDLIKE = re.compile(r"[^\W\d_]+")
 SIZES = (1, 2, 3)  # letters in an n-gram; the word's ends count as letters
 BITS = 16  # hash space of n-grams: a table row for each bucket
 SMOOTHING = 0.5  # added to every bucket's count
@@ -46,6 +30,21 @@ ROUNDS, CLOSE = 20, 1e-3
 PENALTY = 6.0  # log-likelihood a language must bring, times log(words)
 UNKNOWN = "und"
 
+
+def letter_runs(text: str) -> Counter:
+    """Runs of letters, as str.isalpha has them, and how often each stands in the text.
+
+    The pattern also takes fractions, raised figures and numbers in circles, which
+    are neither letters nor decimal digits; a run that holds one is cut there.
+    """
+    seen = Counter(WORDLIKE.findall(text))
+    for word in [w for w in seen if not w.isalpha()]:
+        n = seen.pop(word)
+        for run in "".join(c if c.isalpha() else " " for c in word).split():
+            seen[run] += n
+    return seen
+
+
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -121,7 +120,7 @@ def train(docs: DataFrame, each: int = DOCS_EACH) -> Model:
             for lang, rows in batch.groupby("lang"):
                 seen: Counter = Counter()
                 for text in rows.text:
-                    seen.update(LETTERS.findall(text.lower()))
+                    seen.update(letter_runs(text.lower()))
                 if seen:
                     found, owner = buckets(list(seen))
                     times = np.fromiter(seen.values(), float, len(seen))[owner]
@@ -214,7 +213,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFra
             rows = []
             for start in range(0, len(batch), 200):
                 part = batch.text.iloc[start : start + 200]
-                seen = [Counter(LETTERS.findall(t.lower())) if model.langs else {} for t in part]
+                seen = [letter_runs(t.lower()) if model.langs else {} for t in part]
                 if len(known) > 300_000:
                     known, table = {}, table[:0]
                 new = list({w for words in seen for w in words if w not in known})

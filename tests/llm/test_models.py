@@ -1,6 +1,7 @@
 """What the classifiers make of odd labels and odd letters."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -26,9 +27,16 @@ def test_texts_without_letters_have_no_language(spark, text):
 
 def test_letters_are_those_of_the_language_itself():
     rng = random.Random(1)
-    for _ in range(3000):
-        text = "".join(chr(rng.choice([rng.randrange(0xD800), rng.randrange(0xE000, 0x20000)])) for _ in range(5))
-        assert bool(language.LETTERS.search(text)) == any(c.isalpha() for c in text)
+    pools = ["ab½²cd①", "xy_3 Ⅷé", None]
+    for i in range(3000):
+        pool = pools[i % 3]
+        text = "".join(
+            rng.choice(pool) if pool
+            else chr(rng.choice([rng.randrange(0xD800), rng.randrange(0xE000, 0x20000)]))
+            for _ in range(12)
+        )
+        runs = "".join(c if c.isalpha() else " " for c in text).split(" ")
+        assert language.letter_runs(text) == Counter(r for r in runs if r), repr(text)
 
 
 def test_the_most_frequent_languages_are_learned(spark, monkeypatch):
