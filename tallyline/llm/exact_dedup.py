@@ -174,8 +174,8 @@ def _grouped(docs: DataFrame, chunk_bytes: int = CHUNK, primes=PRIMES) -> DataFr
         rows = rows.join(other, [*ROW, *PRINT], "left_semi").withColumn("kind", F.lit(kind))
         rows = written(rows, "fingerprints")
     rows = reduce(DataFrame.unionByName, done)
-    # Single texts have no row among the keepers, and a large group is split by
-    # Spark, as a left join allows.
+    # Single texts have no row among the keepers. Both sides come from one shuffle,
+    # so the fingerprints of a large group stay in one task.
     key = [*PRINT, "kind"]
     return rows.join(_keepers(rows, *key), key, "left").select(
         *ROW,

@@ -154,7 +154,8 @@ def repeated_starts(found: DataFrame) -> DataFrame:
         .where("least < most")
         .select("h1", "h2", "least")
     )
-    # A window that very many documents share is split by Spark on this side.
+    # Both sides come from one shuffle, so a window that very many documents share
+    # stays in one task.
     return (
         windows.join(first, ["h1", "h2"])
         .where("doc_id > least")
