@@ -6,6 +6,11 @@ each, and share l among the first 0.2 n + l: a longer prefix may ask for more
 matches. Each document takes the l with the smallest estimated number of
 candidates, and a pair is held to the smaller l of the two.
 
+Shingles found in the same documents, as those of a passage are, form one list
+with their number as its weight, so a shared passage is one row of a pair and not
+one for each of its shingles. Pairs must also pass signs, bit vectors as long as
+the sets, which tell apart all that are not nearly similar enough.
+
 Components are wanted, not pairs. Copies of a text stand aside at first. Then
 every document is compared with the most typical document of each of its prefix
 shingles, which joins large groups with about as many comparisons as members.
@@ -20,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
@@ -63,21 +68,41 @@ class Shingles:
         return np.unique(self.sums.of(self.words.of(words), min(self.size, len(words))))
 
 
-SIGN = [f"sign{i}" for i in range(8)]  # 512 bits
+# Bits of a sign: as many as shingles, to the next power of two. Signs of sets larger
+# than the most tell fewer pairs apart, and never wrongly.
+LEAST_BITS, MOST_BITS = 512, 8192
 
 
 def sign(shingles: np.ndarray) -> np.ndarray:
     """Each bit says whether an odd number of shingles falls on it.
 
     Two signs differ in at most as many bits as their sets have shingles apart.
+    The two halves of a sign, added up, are the sign of half as many bits.
     """
-    odd = np.bincount((shingles & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    bits = LEAST_BITS
+    while bits < min(len(shingles), MOST_BITS):
+        bits *= 2
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def near_signs(a: str, b: str, percent: int) -> Column:
-    """False for pairs whose signs differ in more bits than the similarity allows."""
-    apart = sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SIGN)
+    """False for pairs whose signs differ in more bits than the similarity allows.
+
+    For pairs of near sizes, whose signs are of one length or one twice the other.
+    """
+    x, y = F.col(f"{a}.sign"), F.col(f"{b}.sign")
+
+    def at_most(sign: Column, other: Column) -> Column:
+        half = F.size(other)
+        halves = F.zip_with(
+            F.slice(sign, F.lit(1), half), F.slice(sign, half + 1, half),
+            lambda p, q: p.bitwiseXOR(q),
+        )
+        return F.when(F.size(sign) > half, halves).otherwise(sign)
+
+    bits = F.zip_with(at_most(x, y), at_most(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
     both = F.col(f"{a}.n") + F.col(f"{b}.n")
     return apart * (100 + percent) <= (100 - percent) * both
 
@@ -206,9 +231,7 @@ def prefixed(
 
 
 def signs(found: DataFrame) -> DataFrame:
-    return found.select(
-        "doc_id", "mark", "n", *[F.col("sign")[i].alias(s) for i, s in enumerate(SIGN)]
-    )
+    return found.select("doc_id", "mark", "n", "sign")
 
 
 # --- candidates -----------------------------------------------------------------
@@ -219,29 +242,51 @@ def near_sizes(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
-def postings(found: DataFrame) -> DataFrame:
-    """(key, doc_id, mark, n, level, place) of shingles in two prefixes or more."""
+def postings(found: DataFrame, longest: int) -> DataFrame:
+    """(list, doc_id, mark, n, df, upto): a list stands for all shingles of the same documents.
+
+    Lists are told apart by hashes of their documents; lists taken for one give more
+    candidates, never fewer. `df` is the number of documents, and the i-th number of
+    `upto` says how many shingles of the list the document's prefix for i matches holds.
+    As prefixes follow one order, two documents share the smaller of their numbers.
+    """
     each = found.select(
-        "doc_id", "mark", "n", F.posexplode(F.arrays_zip("key", "level")).alias("place", "p")
-    ).select("p.key", "doc_id", "mark", "n", "p.level", "place")
-    several = each.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    return each.join(several.select("key"), "key")
+        "doc_id", "mark", "n", F.explode(F.arrays_zip("key", "level")).alias("p")
+    ).select("p.key", "doc_id", "mark", "n", "p.level")
+    several = (
+        each.groupBy("key")
+        .agg(
+            F.count("*").alias("df"),
+            F.bit_xor(F.xxhash64("doc_id", "mark")).alias("one"),
+            F.bit_xor(F.xxhash64("mark", "doc_id")).alias("two"),
+        )
+        .where("df > 1")
+        .select("key", "df", F.xxhash64("df", "one", "two").alias("list"))
+    )
+    # Written, so that Spark can split a shingle of very many documents in the join.
+    several = written(several, "several")
+    upto = [F.count_if(F.col("level") <= i).cast("int") for i in range(1, longest + 1)]
+    return (
+        each.join(several, "key")
+        .groupBy("doc_id", "mark", "list")
+        .agg(F.max("n").alias("n"), F.max("df").alias("df"), F.array(*upto).alias("upto"))
+    )
 
 
 def with_leaders(listed: DataFrame, percent: int) -> DataFrame:
-    """Each document with the leader of each of its shingles.
+    """Each document with the leader of each of its lists.
 
     The leader is the document with the most shared prefix shingles: the least
     edited of a group of copies, and so the one most alike to all of them.
     """
-    own = listed.groupBy("doc_id", "mark").agg(F.count("*").alias("shared"))
+    own = listed.groupBy("doc_id", "mark").agg(F.sum(F.element_at("upto", -1)).alias("shared"))
     leader = (
         listed.join(own, ["doc_id", "mark"])
-        .groupBy("key")
+        .groupBy("list")
         .agg(F.max(F.struct("shared", "doc_id", "mark", "n")).alias("l"))
     )
     return (
-        listed.join(leader, "key")
+        listed.join(written(leader, "leaders"), "list")
         .where("doc_id <> l.doc_id")
         .where(near_sizes(F.col("n"), F.col("l.n"), percent))
         .select(
@@ -264,26 +309,33 @@ def alike(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 
 def matches_asked(listed: DataFrame, longest: int) -> DataFrame:
-    """Add `l`, the matches asked of a document, at the smallest estimated cost.
+    """Add `l`, the matches asked of a document, at the smallest estimated cost, and
+    `total`, the listed shingles in its prefix for l.
 
-    Prefix l meets as many list entries as its shingles' lists have, and at most
-    an l-th of them as candidates.
+    Prefix l meets the documents of its lists, and at most an l-th of what it shares
+    with them as candidates.
     """
-    df = listed.groupBy("key").agg(F.count("*").alias("df"))
-    each = listed.join(df, "key")
-    costs = [
-        F.sum(F.when(F.col("level") <= i, F.col("df") - 1)) * (1 + CANDIDATE / i)
-        for i in range(1, longest + 1)
-    ]
+    others = F.col("df") - 1
+    costs = []
+    for i in range(1, longest + 1):
+        held = F.get("upto", F.lit(i - 1))
+        costs.append(F.sum(F.when(held > 0, others * (1 + CANDIDATE * held / i))))
     # Sets of few shingles may not be asked for more matches than they must share.
     top = F.max("n")
     best = None
     for i in range(longest, 0, -1):
         cost = F.when((F.lit(i) == 1) | (top >= 2 * i), F.coalesce(costs[i - 1], F.lit(0.0)))
-        pair = F.struct(F.coalesce(cost, F.lit(float("inf"))).alias("cost"), F.lit(i).alias("l"))
+        total = F.sum(F.get("upto", F.lit(i - 1)))
+        pair = F.struct(
+            F.coalesce(cost, F.lit(float("inf"))).alias("cost"), F.lit(i).alias("l"),
+            total.alias("total"),
+        )
         best = pair if best is None else F.least(pair, best)
-    chosen = each.groupBy("doc_id", "mark").agg(best.alias("best"))
-    return listed.join(chosen.select("doc_id", "mark", F.col("best.l").alias("l")), ["doc_id", "mark"])
+    chosen = listed.groupBy("doc_id", "mark").agg(best.alias("best"))
+    return listed.join(
+        chosen.select("doc_id", "mark", F.col("best.l").alias("l"), F.col("best.total").alias("total")),
+        ["doc_id", "mark"],
+    )
 
 
 def across(
@@ -294,19 +346,14 @@ def across(
         roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left"
     ).withColumn("root", F.coalesce("root", "doc_id"))
     mixed = (
-        placed.groupBy("key")
+        placed.groupBy("list")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low < high")
-        .select("key")
-    )
-    asked = matches_asked(placed.join(mixed, "key"), longest).where("level <= l")
-    # Of a document's shingles here, `upto` come before this one or are it, `after` follow.
-    own = Window.partitionBy("doc_id", "mark").orderBy("level", "place")
-    whole = Window.partitionBy("doc_id", "mark")
-    asked = asked.withColumn("upto", F.row_number().over(own)).withColumn(
-        "after", F.count("*").over(whole) - F.col("upto")
+        .select("list")
     )
-    asked = asked.drop("place").join(signs(found).drop("n"), ["doc_id", "mark"])
+    asked = matches_asked(placed.join(written(mixed, "mixed"), "list"), longest)
+    asked = asked.where(F.get("upto", F.col("l") - 1) > 0).drop("df")
+    asked = asked.join(signs(found).drop("n"), ["doc_id", "mark"])
     asked = written(asked, "asked")
     a, b = asked.alias("a"), asked.alias("b")
     least = F.least("a.l", "b.l")
@@ -314,23 +361,23 @@ def across(
     # sizes ask for above that has to be shared inside.
     both = F.ceil(percent * (F.col("a.n") + F.col("b.n")) / (100 + percent))
     more = both - F.ceil(percent * F.greatest("a.n", "b.n") / 100)
-    possible = F.least("a.upto", "b.upto") + F.least("a.after", "b.after")
+    shared = F.least(F.get("a.upto", least - 1), F.get("b.upto", least - 1))
     return (
         a.join(
             b,
-            (F.col("a.key") == F.col("b.key"))
+            (F.col("a.list") == F.col("b.list"))
             & (F.col("a.doc_id") < F.col("b.doc_id"))
             & (F.col("a.root") != F.col("b.root"))
             & near_sizes(F.col("a.n"), F.col("b.n"), percent)
-            & (F.greatest("a.level", "b.level") <= least)
-            & (possible >= more + least)
+            & (shared > 0)
+            & (F.least("a.total", "b.total") >= more + least)
             & near_signs("a", "b", percent),
         )
         .groupBy(
             F.col("a.doc_id").alias("a"), F.col("a.mark").alias("a_mark"),
             F.col("b.doc_id").alias("b"), F.col("b.mark").alias("b_mark"),
         )
-        .agg(F.count("*").alias("shared"), F.max(more + least).alias("enough"))
+        .agg(F.sum(shared).alias("shared"), F.max(more + least).alias("enough"))
         .where("shared >= enough")
         .drop("shared", "enough")
     )
@@ -394,7 +441,7 @@ def near_duplicates(
     seen = repeated_prefixes(firsts, common, shingle, percent, longest, SKETCH_ROWS, bits)
     every = written(prefixed(firsts, common, seen, shingle, percent, longest), "found", "zstd")
     found = every.where("key IS NOT NULL")
-    listed = written(postings(found), "listed")
+    listed = written(postings(found, longest), "listed")
     led = alike(with_leaders(listed, percent), found, percent)
     near = written(verified(led, found, shingle, percent), "near")
     roots = components(near)
