@@ -35,7 +35,6 @@ from .common import (
     Windows,
     among,
     chosen,
-    fold,
     named,
     partition_sketch,
     row_key,
@@ -434,7 +433,8 @@ def near_duplicates(
     that share a doc_id are one node and return each time; other columns are not
     looked at; an empty table gives none.
     """
-    rows = identified(docs, fold(F.col("text")))
+    # Copies are told by the text as it stands; those in other case meet in the join.
+    rows = identified(docs)
     sizes = written(rows.drop("text"), "sizes")
     firsts = Firsts(rows, sizes)
     common = common_shingles(rows, sizes, shingle)
