@@ -131,8 +131,12 @@ def prefix(
             late = shingles[listed]
             late = late[np.lexsort((late, frequency[at[listed]]))]
             ordered = np.concatenate([shingles[~listed], late])
-    level = np.maximum(np.arange(1, size + 1) - (n - need), 1)
-    return ordered[:size], level.astype(np.int32)
+    return ordered[:size], levels(n, size, percent)
+
+
+def levels(n: int, size: int, percent: int) -> np.ndarray:
+    """The l from which each place of a prefix of `size` is in it, for a set of n."""
+    return np.maximum(np.arange(1, size + 1) - (n - least_overlap(n, percent)), 1).astype(np.int32)
 
 
 # --- passes over the texts ------------------------------------------------------
@@ -181,51 +185,59 @@ def common_shingles(
     return keys[order], np.array([r.n for r in got], np.int64)[order]
 
 
-def repeated_prefixes(
-    firsts: Firsts, common, shingle: int, percent: int, longest: int, depth: int, bits: int
-) -> SeenTwice:
+def column(values: list, batch: pd.DataFrame) -> pd.Series:
+    """Values, arrays among them, as a column of the batch, which may be empty."""
+    return pd.Series(values, batch.index, dtype=object)
+
+
+def described(firsts: Firsts, common, shingle: int, percent: int, longest: int) -> DataFrame:
+    """Size, prefix and sign of every set, and its text: sets are hashed here only."""
     shared = firsts.rows.sparkSession.sparkContext.broadcast(common)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets = Shingles(shingle)
-        keys = (
-            prefix(sets.of(t), shared.value, percent, longest)[0] for b in batches for t in b.text
-        )
+        for batch in batches:
+            found = [sets.of(text) for text in batch.text]
+            keys = [prefix(f, shared.value, percent, longest)[0].view(np.int64) for f in found]
+            yield batch[["doc_id", "mark", "text"]].assign(
+                n=column([len(f) for f in found], batch),
+                key=column(keys, batch),
+                sign=column([sign(f) for f in found], batch),
+            )
+
+    return firsts.map(
+        describe,
+        "doc_id long, mark long, text string, n int, key array<long>, sign array<long>",
+    )
+
+
+def repeated_prefixes(every: DataFrame, depth: int, bits: int) -> SeenTwice:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys = (np.asarray(key, np.int64).view(np.uint64) for b in batches for key in b.key)
         return partition_sketch(keys, depth, bits)
 
-    return SeenTwice.collect(firsts.map(count, SKETCH), depth, bits)
+    return SeenTwice.collect(every.select("key").mapInPandas(count, SKETCH), depth, bits)
 
 
-def prefixed(
-    firsts: Firsts, common, seen: SeenTwice, shingle: int, percent: int, longest: int
-) -> DataFrame:
-    """Sizes of all sets, and text and prefix shingles of those that another may share."""
-    context = firsts.rows.sparkSession.sparkContext
-    shared = context.broadcast((common, seen.rows, seen.bits, seen.cells))
+def shared_prefixes(every: DataFrame, seen: SeenTwice, percent: int) -> DataFrame:
+    """Sets with a prefix shingle that another may share, and those shingles only."""
+    shared = every.sparkSession.sparkContext.broadcast((seen.rows, seen.bits, seen.cells))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common, *cells = shared.value
-        sketch, sets = SeenTwice(*cells), Shingles(shingle)
+        sketch = SeenTwice(*shared.value)
         for batch in batches:
-            out = []
-            for doc_id, mark, text in zip(batch.doc_id, batch.mark, batch.text):
-                found = sets.of(text)
-                keys, level = prefix(found, common, percent, longest)
-                may = sketch.maybe(keys)
-                some = bool(may.any())
-                out.append(
-                    (
-                        doc_id, mark, len(found), text if some else None,
-                        keys[may].view(np.int64) if some else None, level[may] if some else None,
-                        sign(found) if some else None,
-                    )
-                )
-            yield pd.DataFrame(out, columns=["doc_id", "mark", "n", "text", "key", "level", "sign"])
-
-    return firsts.map(
+            keys, level = [], []
+            for key, n in zip(batch.key, batch.n):
+                key = np.asarray(key, np.int64)
+                may = sketch.maybe(key.view(np.uint64))
+                keys.append(key[may])
+                level.append(levels(n, len(key), percent)[may])
+            some = np.array([len(key) > 0 for key in keys], bool)
+            yield batch.assign(key=column(keys, batch), level=column(level, batch))[some]
+
+    return every.select("doc_id", "mark", "n", "key", "sign").mapInPandas(
         pick,
-        "doc_id long, mark long, n int, text string, key array<long>, level array<int>,"
-        " sign array<long>",
+        "doc_id long, mark long, n int, key array<long>, level array<int>, sign array<long>",
     )
 
 
@@ -382,14 +394,14 @@ def across(
     )
 
 
-def verified(pairs: DataFrame, found: DataFrame, shingle: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, every: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets have the similarity."""
     pairs = written(pairs, "pairs")
 
     def text(end: str) -> DataFrame:
         """Texts of this end of the pairs: the others need not be shuffled."""
         ends = pairs.select(F.col(end).alias("doc_id"))
-        return among(found.select("doc_id", "mark", "text"), ends).select(
+        return among(every.select("doc_id", "mark", "text"), ends).select(
             F.col("doc_id").alias(end), F.col("mark").alias(f"{end}_mark"),
             F.col("text").alias(f"{end}_text"),
         )
@@ -438,15 +450,15 @@ def near_duplicates(
     sizes = written(rows.drop("text"), "sizes")
     firsts = Firsts(rows, sizes)
     common = common_shingles(rows, sizes, shingle)
-    seen = repeated_prefixes(firsts, common, shingle, percent, longest, SKETCH_ROWS, bits)
-    every = written(prefixed(firsts, common, seen, shingle, percent, longest), "found", "zstd")
-    found = every.where("key IS NOT NULL")
+    every = written(described(firsts, common, shingle, percent, longest), "sets", "zstd")
+    seen = repeated_prefixes(every, SKETCH_ROWS, bits)
+    found = written(shared_prefixes(every, seen, percent), "found", "zstd")
     listed = written(postings(found, longest), "listed")
     led = alike(with_leaders(listed, percent), found, percent)
-    near = written(verified(led, found, shingle, percent), "near")
+    near = written(verified(led, every, shingle, percent), "near")
     roots = components(near)
     rest = written(
-        verified(across(listed, found, roots, percent, longest), found, shingle, percent), "rest"
+        verified(across(listed, found, roots, percent, longest), every, shingle, percent), "rest"
     )
     # Each row with the first document of its text, whose set is its own too.
     least = sizes.groupBy(*TEXT).agg(F.min("doc_id").alias("least"))

@@ -95,3 +95,11 @@ def test_a_passage_is_one_list(spark):
         (0, 2, [0, 0, 1]), (0, 3, [2, 3, 3]), (1, 3, [2, 3, 3]), (2, 3, [2, 3, 3]),
         (3, 2, [0, 1, 1]),
     ]
+
+
+def test_texts_in_other_case_are_one_class(spark):
+    text = " ".join(f"Word{i}" for i in range(40))
+    rows = [(5, text), (3, text.upper()), (4, text), (9, text.lower()), (1, "A b"), (2, "a B"), (7, "É x"), (8, "é x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs, bits=16).collect()}
+    assert got == {3: 3, 4: 3, 5: 3, 9: 3, 1: 1, 2: 1, 7: 7, 8: 8}
