@@ -87,3 +87,13 @@ def test_match_shuffles_each_side_once(spark, data_dir):
 def test_staging_groups_before_it_joins(spark, data_dir):
     text = plan_of(staging.transactions(spark, data_dir))
     assert text.index("Join") < text.index("partial_min")
+
+
+
+
+def test_items_are_gathered_after_one_shuffle_of_narrow_rows(spark, data_dir):
+    """Tasks that read lines group none of them, and no maps of items are shuffled."""
+    assert "map<" not in staging.order_rows(spark, data_dir).schema.simpleString()
+    text = plan_of(staging.nested_transactions(spark, data_dir))
+    below = text[text.index("collect_list"):]
+    assert "Aggregate" not in below[below.index("Exchange hashpartitioning"):]
