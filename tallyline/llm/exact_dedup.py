@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, fold, named, texts, written
+from .common import NO_ID, among, fold, named, texts, written
 
 CHUNK = 1 << 16  # bytes hashed at once
 PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
@@ -118,19 +118,23 @@ def differing(docs: DataFrame, members: DataFrame, chunk_bytes: int = CHUNK) ->
     """Members (doc_id, mark, n, h1, h2, keep_id, keep_mark, size) unlike their keeper.
 
     A chunk of a keeper is copied for every SLICE members, so a large group is
-    compared in many tasks.
+    compared in many tasks. Only texts in groups are shuffled, each of them once.
     """
-    wanted = members.withColumn("_slices", F.ceil(F.col("size") / SLICE))
-    rows = _chunks(
-        _data(docs).join(wanted, [*ROW, "n"]), chunk_bytes,
-        *ROW, *PRINT, "keep_id", "keep_mark", "_slices",
-    )
     is_keeper = (F.col("doc_id") == F.col("keep_id")) & (F.col("mark") == F.col("keep_mark"))
+    wanted = members.withColumn("_slices", F.ceil(F.col("size") / SLICE)).drop("size")
+
+    def chunks(of: DataFrame) -> DataFrame:
+        # Whose id is not among them is left out before its text is looked at.
+        near = _data(among(texts(docs), of.select("doc_id")))
+        return _chunks(
+            near.join(of, [*ROW, "n"]), chunk_bytes, *ROW, *PRINT, "keep_id", "keep_mark", "_slices"
+        )
+
     key = ["keep_id", "keep_mark", *PRINT, "chunk", "_slice"]
-    mine = rows.where(~is_keeper).withColumn(
+    mine = chunks(wanted.where(~is_keeper)).withColumn(
         "_slice", F.pmod(F.xxhash64(*ROW), F.col("_slices"))
     )
-    keeper = rows.where(is_keeper).select(
+    keeper = chunks(wanted.where(is_keeper)).select(
         "keep_id", "keep_mark", *PRINT, "chunk",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)).alias("_slice"),
         F.col("part").alias("_kept_part"),
@@ -163,7 +167,7 @@ def _grouped(docs: DataFrame, chunk_bytes: int = CHUNK, primes=PRIMES) -> DataFr
     rows = rows.withColumn("kind", F.lit(0))
     done, kind = [], 0
     while True:
-        members = rows.join(_keepers(rows, *PRINT), PRINT)
+        members = written(rows.join(_keepers(rows, *PRINT), PRINT).drop("text_sha256"), "members")
         other = written(differing(docs, members, chunk_bytes), "differing")
         if other.isEmpty():
             done.append(rows)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parents[1]))
 
 import corpus_pipeline  # noqa: E402
+from conftest import plan_of  # noqa: E402
 from tallyline.llm.common import among  # noqa: E402
 from tallyline.llm import (  # noqa: E402
     exact_dedup,
@@ -97,6 +98,15 @@ def test_equal_fingerprints_of_different_texts_are_parted(spark):
     assert {r.doc_id: r.keep_id for r in got} == {i: last[text] for i, text in rows}
 
 
+def test_only_texts_in_groups_are_shuffled_to_be_compared(spark):
+    """Copies and their keepers are told by their ids before any text is moved."""
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
+    members = spark.createDataFrame(
+        [], "doc_id long, mark long, n long, h1 long, h2 long, keep_id long, keep_mark long, size long"
+    )
+    assert plan_of(exact_dedup.differing(docs, members)).count("getbit") == 2
+
+
 def test_fingerprint_of_chunks_is_that_of_the_whole():
     data, (base, prime) = bytes(range(256)) * 3, (exact_dedup.BASES[0], exact_dedup.PRIMES[0])
     whole = exact_dedup.share(data, 0, base, prime)
