@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,7 @@ LEAST = 3  # labelled documents a feature must be in
 RIDGE = 1.0  # squared weights in the loss
 SWAP = 1.0  # weight of the squared change of score under a swap, per pair
 PAIRS = 4  # sentences of a text that may carry a swapped pair
+PIECE = 1 << 18  # features of sets that are summed at once
 
 
 def cells(word: str) -> set[int]:
@@ -103,8 +105,51 @@ class Places(dict):
         return {i for w in words for i in self[w]}
 
 
+class Sets:
+    """Sets of features in as few bytes as they need: sizes, and all places in one array.
+
+    Sums over them go piece by piece, so that what they hold besides is bounded.
+    """
+
+    def __init__(self, sizes: np.ndarray, places: np.ndarray):
+        self.n, self.widest = len(sizes), int(sizes.max(initial=0))
+        self.full = np.flatnonzero(sizes)
+        self.sizes, self.places = sizes[self.full], places
+        starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        cuts = np.searchsorted(starts, np.arange(0, len(places), PIECE))
+        ends = np.append(cuts[1:], len(starts))
+        # Sets from i to j, their places, and where each of them starts there.
+        self.pieces = [
+            (slice(i, j), slice(starts[i], starts[j - 1] + self.sizes[j - 1]), starts[i:j] - starts[i])
+            for i, j in zip(cuts, ends) if i < j
+        ]
+
+    @classmethod
+    def of(cls, rows: list[np.ndarray] | Sets) -> Sets:
+        if isinstance(rows, Sets):
+            return rows
+        none = np.empty(0, np.int64)
+        return cls(np.array([len(r) for r in rows], np.int64), np.concatenate([none, *rows]))
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        """For each set the sum of its features' weights."""
+        out = np.zeros(self.n)
+        for sets, places, starts in self.pieces:
+            out[self.full[sets]] = np.add.reduceat(weights[self.places[places]], starts)
+        return out
+
+    def spread(self, values: np.ndarray, size: int) -> np.ndarray:
+        """For each feature the sum of the values of the sets that have it."""
+        out = np.zeros(size)
+        for sets, places, _ in self.pieces:
+            each = np.repeat(values[self.full[sets]], self.sizes[sets])
+            out += np.bincount(self.places[places], weights=each, minlength=size)
+        return out
+
+
 def fit(
-    rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]],
+    rows: list[np.ndarray] | Sets, labels: np.ndarray,
+    pairs: list[tuple[np.ndarray, np.ndarray]] | tuple[Sets, Sets],
     size: int, ridge: float = RIDGE, swap: float = SWAP, rounds: int = 400,
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse 0/1 rows with the swap penalty.
@@ -112,37 +157,29 @@ def fit(
     Loss: mean log loss + ridge / (2 n) |w|**2 + swap / (2 pairs) sum (w a - w b)**2,
     by gradient descent with Nesterov's momentum and a step from the curvature bound.
     """
-    n = max(len(rows), 1)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    diff_row = np.concatenate(
-        [np.full(len(a) + len(b), i) for i, (a, b) in enumerate(pairs)] or [np.empty(0, np.int64)]
-    )
-    diff_col = np.concatenate([x for p in pairs for x in p] or [np.empty(0, np.int64)])
-    diff_val = np.concatenate(
-        [np.r_[np.ones(len(a)), -np.ones(len(b))] for a, b in pairs] or [np.empty(0)]
-    )
-    m = max(len(pairs), 1)
-    widest = np.bincount(row, minlength=1).max(initial=0) + 1
+    rows = Sets.of(rows)
+    if isinstance(pairs, list):
+        pairs = Sets.of([a for a, _ in pairs]), Sets.of([b for _, b in pairs])
+    left, right = pairs
+    n, m = max(rows.n, 1), max(left.n, 1)
     # Largest eigenvalue of X'X / n, by a few power steps, bounds the step.
     v = np.ones(size)
     top = 1.0
     for _ in range(12):
-        u = np.bincount(col, weights=np.bincount(row, weights=v[col], minlength=n)[row], minlength=size)
+        u = rows.spread(rows.sums(v), size)
         top = float(np.linalg.norm(u)) or 1.0
         v = u / top
-    step = 1.0 / (0.25 * min(1.2 * top, widest * n) / n + 0.25 + ridge / n + 4 * swap)
+    step = 1.0 / (0.25 * min(1.2 * top, (rows.widest + 1) * n) / n + 0.25 + ridge / n + 4 * swap)
     w, bias = np.zeros(size), float(np.log((labels.sum() + 0.5) / (n - labels.sum() + 0.5)))
     was, was_bias = w.copy(), bias
     for k in range(rounds):
         push = k / (k + 3)
         at, at_bias = w + push * (w - was), bias + push * (bias - was_bias)
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights=at[col], minlength=n)[:n] + at_bias, -40, 40)))
+        p = 1 / (1 + np.exp(-np.clip(rows.sums(at) + at_bias, -40, 40)))
         miss = (p - labels) / n
-        grad = np.bincount(col, weights=miss[row], minlength=size) + ridge / n * at
-        if len(diff_col):
-            change = np.bincount(diff_row, weights=diff_val * at[diff_col], minlength=m)
-            grad += swap / m * np.bincount(diff_col, weights=diff_val * change[diff_row], minlength=size)
+        grad = rows.spread(miss, size) + ridge / n * at
+        change = left.sums(at) - right.sums(at)
+        grad += swap / m * (left.spread(change, size) - right.spread(change, size))
         was, was_bias = w, bias
         w, bias = at - step * grad, at_bias - step * float(miss.sum())
     return w, bias
@@ -177,9 +214,9 @@ def train(
     """Choose the features that tell most, then fit them.
 
     Bounds: `most` documents are looked at, `size` features are collected, and of
-    a document only the chosen features reach the driver. The bound cuts clean and
-    toxic documents differently; scores are moved back by the two shares taken, so
-    they do not depend on it. Labels of one class, or too few for any feature, teach
+    a document only the chosen features reach the driver, two bytes each. The bound
+    cuts clean and toxic documents differently; scores are moved back by the two
+    shares taken, so they do not depend on it. Labels of one class, or too few for any feature, teach
     nothing: every text is then called clean.
     """
     labelled = usable_labels(marks)
@@ -212,15 +249,21 @@ def train(
     def lend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         places = Places(chosen)
         for batch in batches:
-            out = []
-            for doc_id, text, toxic in zip(batch.doc_id, batch.text, batch.toxic):
-                out.append((toxic, list(places.of(words_of(text))), None))
+            sets, left, right = [], [], []
+            for doc_id, text in zip(batch.doc_id, batch.text):
+                sets.append(places.of(words_of(text)))
                 for a, b in swapped(text, list(terms), doc_id % 1_000_003):
                     # Equal features cancel out; a pair without a difference tells nothing.
                     x, y = places.of(a), places.of(b)
                     if x != y:
-                        out.append((None, list(x - y), list(y - x)))
-            yield pd.DataFrame(out, columns=["toxic", "a", "b"]).astype({"toxic": "Int32"})
+                        left.append(x - y)
+                        right.append(y - x)
+            row = {"toxic": batch.toxic.to_numpy(np.uint8).tobytes()}
+            for name, group in (("sets", sets), ("left", left), ("right", right)):
+                all_places = np.fromiter(chain.from_iterable(group), kind)
+                row[f"{name}_n"] = np.fromiter(map(len, group), np.int32).tobytes()
+                row[name] = all_places.tobytes()
+            yield pd.DataFrame([row])
 
     total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     if not 0 < total.bad < total.n:
@@ -247,11 +290,19 @@ def train(
     if not told:
         return NOTHING
     chosen = np.array(sorted(own | told), np.int64)
-    rows = sample.mapInPandas(lend, "toxic int, a array<int>, b array<int>").collect()
-    singles = [np.array(r.a, np.int64) for r in rows if r.toxic is not None]
-    marks_ = np.array([r.toxic for r in rows if r.toxic is not None], float)
-    pairs = [(np.array(r.a, np.int64), np.array(r.b, np.int64)) for r in rows if r.toxic is None]
-    weights, bias = fit(singles, marks_, pairs, len(chosen))
+    kind = np.min_scalar_type(len(chosen))
+    names = [f"{x}{n}" for x in ("sets", "left", "right") for n in ("_n", "")]
+    schema = ", ".join(f"{x} binary" for x in ["toxic", *names])
+    packed = sample.mapInPandas(lend, schema).collect()
+
+    def joined(name: str, dtype: type) -> np.ndarray:
+        return np.frombuffer(b"".join(r[name] for r in packed), dtype)
+
+    sets, left, right = (
+        Sets(joined(f"{x}_n", np.int32), joined(x, kind)) for x in ("sets", "left", "right")
+    )
+    toxic = joined("toxic", np.uint8).astype(float)
+    weights, bias = fit(sets, toxic, (left, right), len(chosen))
     return Model(chosen, weights, bias + float(np.log(taken_clean / taken_toxic)))
 
 

@@ -1,6 +1,7 @@
 """What the classifiers make of odd labels and odd letters."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -106,3 +107,34 @@ def test_gradient_of_the_fit_vanishes():
         slope = (loss(w + step, bias) - loss(w - step, bias)) / 2e-4
         assert abs(slope) < 1e-4
     assert abs((loss(w, bias + 1e-4) - loss(w, bias - 1e-4)) / 2e-4) < 1e-4
+
+
+def test_the_fit_holds_little_besides_packed_sets():
+    """The same sums as over whole rows, in memory that does not grow by objects and copies."""
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(0, 400, 6000).astype(np.int32)
+    sizes[:3] = 0
+    places = rng.integers(0, 8000, int(sizes.sum())).astype(np.uint16)
+    sets, none = toxicity.Sets(sizes, places), toxicity.Sets(np.empty(0, np.int32), np.empty(0, np.uint16))
+    weights, values = rng.random(8000), rng.random(6000)
+    row = np.repeat(np.arange(6000), sizes)
+    assert len(sets.pieces) > 3
+    assert np.allclose(sets.sums(weights), np.bincount(row, weights[places], 6000))
+    assert np.allclose(sets.spread(values, 8000), np.bincount(places, values[row], 8000))
+    assert not none.sums(weights).size and not none.spread(np.empty(0), 8000).any()
+    tracemalloc.start()
+    toxicity.fit(sets, (values > 0.5).astype(float), (none, none), 8000, rounds=3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6 * places.nbytes  # whole copies take 40 bytes for each feature of a set
+
+
+def test_documents_reach_the_driver_packed(spark, monkeypatch):
+    got = []
+    own = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: got.append(a) or own(*a, **k))
+    docs, marks = labelled(spark, 60, 300)
+    toxicity.train(docs, marks)
+    sets, toxic, (left, right), size = got[0]
+    assert sets.n == len(toxic) and 0 < toxic.sum() < len(toxic) and left.n == right.n > 0
+    assert sets.places.dtype.itemsize <= 2 and sets.places.max() < size
