@@ -235,10 +235,12 @@ AMONG_BITS = 26
 
 
 def among(
-    df: DataFrame, ids: DataFrame, bits: int = AMONG_BITS, key: str = "doc_id"
+    df: DataFrame, ids: DataFrame, bits: int = AMONG_BITS, key: str = "doc_id", but: bool = False
 ) -> DataFrame:
     """Rows of `df` whose `key` may be in `ids` (the same column), told before any shuffle.
 
+    With `but` all other rows, none of which has its key there.
+
     Drops no row whose key is there, and keeps few others while the ids are
     fewer than the bits. The bitmap that is broadcast takes 2**bits / 8 bytes at
     most, whatever the number of ids.
@@ -253,9 +255,10 @@ def among(
         {"_bucket": F.bitmap_bucket_number(cell), "_bit": F.bitmap_bit_position(cell)}
     )
     byte = F.conv(F.hex(F.expr("substring(_map, int(_bit div 8) + 1, 1)")), 16, 10).cast("int")
+    hit = F.getbit(byte, F.expr("int(_bit % 8)")) == 1
     return (
-        marked.join(F.broadcast(maps), "_bucket")
-        .where(F.getbit(byte, F.expr("int(_bit % 8)")) == 1)
+        marked.join(F.broadcast(maps), "_bucket", "left" if but else "inner")
+        .where(~F.coalesce(hit, F.lit(False)) if but else hit)
         .select(*df.columns)
     )
 

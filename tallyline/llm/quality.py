@@ -114,7 +114,7 @@ def base_rules(docs: DataFrame, *keep: str) -> DataFrame:
     counted = docs.select(
         *keep,
         measured.alias("m"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
     ).select(
         *keep, "m.n_words", "m.word_chars", "n_symbols", "n_dup_lines", "m.n_repeat_words"
@@ -140,6 +140,22 @@ def ngram_buckets(text: Column, buckets: int) -> Column:
     return let(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), both)
 
 
+def ngram_rows(docs: DataFrame, buckets: int, *keep: str) -> DataFrame:
+    """A row for each of ngram_buckets(text), without lambdas, which Spark does not compile."""
+
+    def bucket(*parts: Column) -> Column:
+        return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
+
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
+    after = F.slice("a", 2, F.greatest(F.size("a") - 1, F.lit(0)))
+    a, b = F.col("a"), F.col("b")
+    return (
+        docs.select(*keep, tokens.alias("a"))
+        .select(*keep, F.inline(F.arrays_zip("a", after.alias("b"))).alias("a", "b"))
+        .select(*keep, F.explode(F.array(bucket(a), bucket(a, F.lit(" "), b))).alias("bucket"))
+    )
+
+
 def log_ratios(docs: DataFrame, marks: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row: array `ratios` of log P(bucket | trusted) - log P(bucket | corpus).
 
@@ -152,15 +168,12 @@ def log_ratios(docs: DataFrame, marks: DataFrame, buckets: int = BUCKETS) -> Dat
         .distinct()
     )
     rows = texts(docs)
-    # Not a semi join: Spark would move that below the bitmap and shuffle every text.
-    trusted = among(rows, good).join(good, "doc_id")
-    count = lambda raw, good: (F.lit(raw).alias("raw"), F.lit(good).alias("good"))
-    grams = (
-        rows.select("text", *count(1, 0))
-        .unionByName(trusted.select("text", *count(0, 1)))
-        .select("raw", "good", F.explode(ngram_buckets(F.col("text"), buckets)).alias("bucket"))
-    )
-    counts = grams.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
+    # Each text is cut once. Those that may be trusted are shuffled to tell; a semi join of
+    # all rows would be moved below the bitmap, and every text shuffled.
+    told = among(rows, good).join(good.withColumn("good", F.lit(1)), "doc_id", "left").na.fill(0, ["good"])
+    others = among(rows, good, but=True).withColumn("good", F.lit(0))
+    grams = ngram_rows(others.select("text", "good").unionByName(told.select("text", "good")), buckets, "good")
+    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     counts = every.join(counts, "bucket", "left").na.fill(0)
     lists = counts.agg(

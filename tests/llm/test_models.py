@@ -6,8 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tallyline.llm import language, toxicity
+from tallyline.llm import language, quality, toxicity
+from tallyline.llm.common import among
 
 DOCS = "doc_id long, text string"
 MARKS = "doc_id long, toxic int"
@@ -138,3 +140,29 @@ def test_documents_reach_the_driver_packed(spark, monkeypatch):
     sets, toxic, (left, right), size = got[0]
     assert sets.n == len(toxic) and 0 < toxic.sum() < len(toxic) and left.n == right.n > 0
     assert sets.places.dtype.itemsize <= 2 and sets.places.max() < size
+
+
+# --- quality --------------------------------------------------------------------
+
+
+def test_ratios_cut_each_text_once(spark):
+    """One cut for both counts, which are right also where the bitmap is wrong of some ids."""
+    texts = ["one two", "two, three!", "", None, "one", "odd # one"]
+    docs = spark.createDataFrame(
+        [(i % 40 if i % 9 else None, texts[i % 6]) for i in range(120)], DOCS
+    )
+    good = {i for i in range(0, 40, 3)}
+    marks = spark.createDataFrame([(i, int(i in good)) for i in range(40)] * 2, "doc_id long, quality int")
+    buckets = 1 << 10
+    raw, trusted = np.zeros(buckets), np.zeros(buckets)
+    for r in docs.select("doc_id", quality.ngram_buckets(F.coalesce("text", F.lit("")), buckets).alias("b")).collect():
+        np.add.at(raw, r.b, 1)
+        np.add.at(trusted, r.b, r.doc_id in good)
+    share = lambda n: np.log((n + 1) / (n.sum() + buckets))
+    found = quality.log_ratios(docs, marks, buckets)
+    assert np.allclose(found.first().ratios, share(trusted) - share(raw), atol=1e-6)
+    assert "zip_with" not in found._jdf.queryExecution().optimizedPlan().toString()
+    ids = marks.where("quality > 0").select("doc_id")
+    rows = docs.where("doc_id IS NOT NULL")
+    for bits in (2, 26):
+        assert among(rows, ids, bits).count() + among(rows, ids, bits, but=True).count() == rows.count()
