@@ -234,17 +234,8 @@ class SeenTwice:
 AMONG_BITS = 26
 
 
-def among(
-    df: DataFrame, ids: DataFrame, bits: int = AMONG_BITS, key: str = "doc_id", but: bool = False
-) -> DataFrame:
-    """Rows of `df` whose `key` may be in `ids` (the same column), told before any shuffle.
-
-    With `but` all other rows, none of which has its key there.
-
-    Drops no row whose key is there, and keeps few others while the ids are
-    fewer than the bits. The bitmap that is broadcast takes 2**bits / 8 bytes at
-    most, whatever the number of ids.
-    """
+def _looked_up(df: DataFrame, ids: DataFrame, bits: int, key: str, how: str) -> tuple[DataFrame, Column]:
+    """`df` joined with the broadcast bitmap of `ids`, and what it says of `key`."""
     cell = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1
     maps = (
         ids.select(cell.alias("cell")).distinct()
@@ -256,11 +247,30 @@ def among(
     )
     byte = F.conv(F.hex(F.expr("substring(_map, int(_bit div 8) + 1, 1)")), 16, 10).cast("int")
     hit = F.getbit(byte, F.expr("int(_bit % 8)")) == 1
-    return (
-        marked.join(F.broadcast(maps), "_bucket", "left" if but else "inner")
-        .where(~F.coalesce(hit, F.lit(False)) if but else hit)
-        .select(*df.columns)
-    )
+    return marked.join(F.broadcast(maps), "_bucket", how), hit
+
+
+def maybe_in(
+    df: DataFrame, ids: DataFrame, name: str, bits: int = AMONG_BITS, key: str = "doc_id"
+) -> DataFrame:
+    """Add a boolean: whether `key` may be in `ids`, as `among` tells; False is certain."""
+    looked, hit = _looked_up(df, ids, bits, key, "left")
+    return looked.select(*df.columns, F.coalesce(hit, F.lit(False)).alias(name))
+
+
+def among(
+    df: DataFrame, ids: DataFrame, bits: int = AMONG_BITS, key: str = "doc_id", but: bool = False
+) -> DataFrame:
+    """Rows of `df` whose `key` may be in `ids` (the same column), told before any shuffle.
+
+    With `but` all other rows, none of which has its key there.
+
+    Drops no row whose key is there, and keeps few others while the ids are
+    fewer than the bits. The bitmap that is broadcast takes 2**bits / 8 bytes at
+    most, whatever the number of ids.
+    """
+    looked, hit = _looked_up(df, ids, bits, key, "left" if but else "inner")
+    return looked.where(~F.coalesce(hit, F.lit(False)) if but else hit).select(*df.columns)
 
 
 def partition_sketch(key_arrays: Iterator[np.ndarray], rows: int, bits: int) -> Iterator[pd.DataFrame]:

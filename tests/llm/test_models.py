@@ -3,13 +3,15 @@
 import random
 import tracemalloc
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tallyline.llm import language, quality, toxicity
-from tallyline.llm.common import among
+from tallyline.llm.common import among, maybe_in
 
 DOCS = "doc_id long, text string"
 MARKS = "doc_id long, toxic int"
@@ -166,3 +168,41 @@ def test_ratios_cut_each_text_once(spark):
     rows = docs.where("doc_id IS NOT NULL")
     for bits in (2, 26):
         assert among(rows, ids, bits).count() + among(rows, ids, bits, but=True).count() == rows.count()
+
+
+def test_no_row_carries_the_ratios(spark, data_dir):
+    """Their 4 MB were copied for each row; now they stand in the score itself."""
+    docs, marks = (spark.read.parquet(f"{data_dir}/{name}.parquet") for name in ("documents", "labels"))
+    assert "AS _ratios" not in plan_of(quality.judge(docs, marks))
+
+
+@pytest.mark.parametrize("bits", [1, 3, 26])
+def test_trusted_rows_are_told_whatever_the_bitmaps_say(spark, monkeypatch, bits):
+    """Only texts in both bitmaps are joined; the counts are those of all rows."""
+    for name, told in (("among", among), ("maybe_in", maybe_in)):
+        monkeypatch.setattr(quality, name, partial(told, bits=bits))
+    docs = spark.createDataFrame([(i if i % 7 else None, f"w{i % 5} x") for i in range(60)] * 2, DOCS)
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(50)], "doc_id long, quality int")
+    buckets = 1000
+    raw, trusted = np.zeros(buckets), np.zeros(buckets)
+    for r in docs.select("doc_id", quality.ngram_buckets(F.col("text"), buckets).alias("b")).collect():
+        np.add.at(raw, r.b, 1)
+        np.add.at(trusted, r.b, r.doc_id is not None and r.doc_id < 50 and r.doc_id % 4 == 0)
+    share = lambda n: np.log((n + 1) / (n.sum() + buckets))
+    found = quality.log_ratios(docs, marks, buckets).first().ratios
+    assert np.allclose(found, share(trusted) - share(raw), atol=1e-6)
+
+
+def test_repeated_windows_are_told_by_whole_hashes(spark):
+    """Hashes that share their upper bits, and negative ones, are not taken for each other."""
+    one, other, least = 5 << 31, (5 << 31) + 1, -(1 << 63)
+    rows = [
+        (1, [one, 1 << 40, 2 << 40, 3 << 40, other, 4 << 40, 5 << 40, 6 << 40, one], 6),
+        (2, [least, least + 1, least + 2], 0),
+        (3, [-1, 7, 8, 9, 10, -2, 11, 12, 13, -1, -1], 7),
+        (4, [], 0),
+        (5, [3] * 70_000, 70_002),
+    ]
+    df = spark.createDataFrame([r[:2] for r in rows], "k int, h array<long>")
+    got = {r.k: r.n_repeat_words for r in quality.repeated_words(df, "h", "k").collect()}
+    assert got == {k: n for k, _, n in rows}
