@@ -12,6 +12,7 @@ than nine thousand million million occurrences of kept terms.
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -27,7 +28,11 @@ from .common import among, arrow_batches, written
 
 LEAST_DOCUMENTS, TOP = 10, 10
 BITS = 64  # of a digest
-GATHERED = 2_000_000  # distinct terms of rows a task gathers before it hands them on
+# What a task gathers before it hands it on: distinct terms of rows, where a group counts
+# as PER_GROUP of them, or bytes of text.
+GATHERED, PER_GROUP, GATHERED_BYTES = 2_000_000, 64, 64 << 20
+LINES = 1 << 16  # lines handed on at once
+BATCH_BYTES = "4m"  # of rows handed to Python at once
 BLOCK = 64  # sources compared at once
 SALTS = 16  # slices of a source's or language's rows in joins with small tables
 
@@ -52,40 +57,85 @@ class Gathered:
     def __init__(self):
         self.groups = defaultdict(count().__next__)
         self.terms = defaultdict(count().__next__)
-        self.size = 0
-        self._rows = []  # group, number, times of each row's distinct terms
+        self._pairs = []  # by group: numbers and times of its rows' distinct terms, row after row
+        self._size = self._bytes = 0
 
     def add(self, lang: str, source: str, text: str) -> None:
-        found = text.encode().translate(TERM_BYTES).split()
-        numbers = np.fromiter(map(self.terms.__getitem__, found), np.int64, len(found))
+        data = text.encode()
+        found = data.translate(TERM_BYTES).split()
+        if not found:
+            return
+        numbers = np.fromiter(map(self.terms.__getitem__, found), np.int32, len(found))
         number, times = np.unique(numbers, return_counts=True)
-        self._rows.append((self.groups[lang, source], number, times))
-        self.size += len(number)
-
-    def batch(self, bits: int, spelled: bool) -> pa.RecordBatch:
-        """One line for each group and term; a term stands in its first line, or in all."""
-        group = np.repeat([g for g, _, _ in self._rows], [len(n) for _, n, _ in self._rows])
-        number = np.concatenate([n for _, n, _ in self._rows])
-        times = np.concatenate([t for _, _, t in self._rows])
-        key = group.astype(np.int64) << 32 | number
-        order = np.argsort(key, kind="stable")
-        key, starts, held = np.unique(key[order], return_index=True, return_counts=True)
-        number = key & 0xFFFFFFFF
+        group = self.groups[lang, source]
+        if group == len(self._pairs):
+            self._pairs.append((array("i"), array("i")))
+        for held, more in zip(self._pairs[group], (number, times.astype(np.int32))):
+            held.frombytes(more.tobytes())
+        self._size += len(number)
+        self._bytes += len(data)
+
+    def full(self) -> bool:
+        return self._size + PER_GROUP * len(self.groups) >= GATHERED or self._bytes >= GATHERED_BYTES
+
+    def _parts(self) -> Iterator[list[int]]:
+        """Groups that are counted together: whole ones, with LINES terms of rows or more."""
+        part, size = [], 0
+        for group, (number, _) in enumerate(self._pairs):
+            part.append(group)
+            size += len(number)
+            if size >= LINES:
+                yield part
+                part, size = [], 0
+        if part:
+            yield part
+
+    def batches(self, bits: int, spelled: bool) -> Iterator[pa.RecordBatch]:
+        """One line for each group and term, LINES at most in a batch; a term stands in its first line, or in all."""
         digests = np.fromiter(map(xxhash.xxh3_64_intdigest, self.terms), np.uint64, len(self.terms))
         digests = (digests >> np.uint64(64 - bits)).view(np.int64)
-        without = np.full(len(number), not spelled)
-        without[np.unique(number, return_index=True)[1]] = False
         terms = pa.array(list(self.terms), pa.binary()).cast(pa.string())
         langs, sources = (pa.array(list(names), pa.string()) for names in zip(*self.groups))
-        return pa.RecordBatch.from_arrays(
-            [
-                langs.take(pa.array(key >> 32)), sources.take(pa.array(key >> 32)),
-                pa.array(digests[number]),
-                terms.take(pa.array(number, mask=without)),
-                pa.array(np.add.reduceat(times[order], starts)), pa.array(held),
-            ],
-            names=["lang", "source", "digest", "term", "n", "docs"],
-        )
+        shown = np.zeros(len(self.terms), bool)
+        for part in self._parts():
+            pairs = [[np.frombuffer(held, np.int32) for held in self._pairs[g]] for g in part]
+            key = np.repeat(np.array(part, np.int64) << 32, [len(n) for n, _ in pairs])
+            key |= np.concatenate([n for n, _ in pairs])
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            starts = np.flatnonzero(np.diff(key, prepend=-1))
+            held = np.diff(starts, append=len(key))
+            n = np.add.reduceat(np.concatenate([t for _, t in pairs])[order], starts, dtype=np.int64)
+            key = key[starts]
+            number = key & 0xFFFFFFFF
+            without = np.full(len(number), not spelled)
+            distinct, first = np.unique(number, return_index=True)
+            without[first[~shown[distinct]]] = False
+            shown[distinct] = True
+            for at in range(0, len(key), LINES):
+                here = slice(at, at + LINES)
+                group = pa.array(key[here] >> 32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        langs.take(group), sources.take(group),
+                        pa.array(digests[number[here]]),
+                        terms.take(pa.array(number[here], mask=without[here])),
+                        pa.array(n[here]), pa.array(held[here]),
+                    ],
+                    names=["lang", "source", "digest", "term", "n", "docs"],
+                )
+
+
+def _gather(batches: Iterator[pa.RecordBatch], bits: int, spelled: bool) -> Iterator[pa.RecordBatch]:
+    held = Gathered()
+    for batch in batches:
+        for lang, source, text in zip(*[c.to_pylist() for c in batch.columns]):
+            held.add(lang, source, text)
+            if held.full():
+                yield from held.batches(bits, spelled)
+                held = Gathered()
+    if held.terms:
+        yield from held.batches(bits, spelled)
 
 
 def task_counts(docs: DataFrame, bits: int = BITS, spelled: bool = False) -> DataFrame:
@@ -94,22 +144,11 @@ def task_counts(docs: DataFrame, bits: int = BITS, spelled: bool = False) -> Dat
     A task writes a term out in one line and its digest alone in the others, unless
     terms are wanted `spelled` in each.
     """
-    arrow_batches(docs.sparkSession)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Gathered()
-        for batch in batches:
-            for lang, source, text in zip(*[c.to_pylist() for c in batch.columns]):
-                held.add(lang, source, text)
-                if held.size >= GATHERED:
-                    yield held.batch(bits, spelled)
-                    held = Gathered()
-        if held.size:
-            yield held.batch(bits, spelled)
-
+    arrow_batches(docs.sparkSession, size=BATCH_BYTES)
     rows = docs.select(_filled("lang"), _filled("source"), _filled("text"))
     return rows.mapInArrow(
-        gather, "lang string, source string, digest long, term string, n long, docs long"
+        lambda batches: _gather(batches, bits, spelled),
+        "lang string, source string, digest long, term string, n long, docs long",
     )
 
 
@@ -332,7 +371,7 @@ def pair_distances(counts: DataFrame, groups: DataFrame, block: int = BLOCK) ->
         F.coalesce(F.col(f"{side}_shares.{what}"), F.array().cast(kind)).alias(f"{side}_{what}")
         for side in ("one", "other") for what, kind in (("at", "array<int>"), ("p", "array<long>"))
     ]
-    arrow_batches(counts.sparkSession)
+    arrow_batches(counts.sparkSession, size=BATCH_BYTES)
     sums = (
         meeting.select("lang", "one", "other", "one_none", "other_none", *listed)
         .mapInPandas(lambda batches: _compare(batches, block), SUMS)
@@ -369,7 +408,8 @@ def source_divergence(
     UTF-8 order; other columns are not looked at; an empty table gives no rows. A very
     long text is one row's list of terms in its task. `bits` of a digest decide how
     many terms must be split, and `block` how sources are grouped, never the result.
-    Memory: a task holds about GATHERED terms and one text.
+    Memory: a task holds about GATHERED terms of rows or GATHERED_BYTES of text, a batch
+    of LINES lines and one text.
     """
     counts, names = term_counts(docs, least_documents, bits)
     groups = written(group_table(docs, counts), "groups")

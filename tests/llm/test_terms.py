@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,6 +233,55 @@ def test_divergence_over_blocks_of_sources(spark):
     assert rows_of(got) == brute_divergence(docs.collect(), 3, 10)
 
 
+@pytest.mark.parametrize(
+    "limit, rows",
+    [
+        ("GATHERED", [("en", f"s{i % 7}", f"a b{i % 50} c{i}") for i in range(2000)]),
+        ("GATHERED", [("en", f"s{i}", "a") for i in range(2000)]),  # few terms, many groups
+        ("GATHERED_BYTES", [("en", "s", f"a {'z' * 500}{i % 9}") for i in range(2000)]),
+    ],
+)
+def test_divergence_task_gathers_and_hands_on_bounded_parts(monkeypatch, limit, rows):
+    monkeypatch.setattr(divergence, limit, 1000)
+    monkeypatch.setattr(divergence, "LINES", 40)
+    read, held, n = 0, [], Counter()
+
+    def batches():
+        nonlocal read
+        for i in range(0, len(rows), 10):
+            read += 10
+            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows[i : i + 10])], names=["l", "s", "t"])
+
+    before = 0
+    for batch in divergence._gather(batches(), 64, True):
+        assert batch.num_rows <= 40
+        held.append(read - before)
+        before = read
+        for r in batch.to_pylist():
+            n[r["lang"], r["source"], r["term"]] += r["n"]
+    assert max(held) <= 350  # rows between two batches
+    assert n == Counter((lang, source, t) for lang, source, text in rows for t in re.findall("[a-z]+", text))
+
+
+def test_divergence_task_memory_for_each_term_of_a_row():
+    rng = random.Random(5)
+    words = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"]
+    rows = [("en", f"s{i % 20}", " ".join(rng.sample(words, 300))) for i in range(1500)]
+    tracemalloc.start()
+    try:
+        held = divergence.Gathered()
+        for row in rows:
+            held.add(*row)
+        lines = 0
+        for batch in held.batches(64, False):
+            lines += batch.num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert lines == 20 * len(words)
+    assert peak < 30 * 300 * len(rows)
+
+
 def test_share_is_exact_for_large_counts(spark):
     rows = [(0, 1, 1), (1, 1, 1), (10**14, 3 * 10**14 + 1, 5), (7, 8 * 10**15, 10**6)]
     df = spark.createDataFrame(rows, "n long, total long, terms long")
